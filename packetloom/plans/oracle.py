@@ -196,7 +196,7 @@ _add(
 _add(
     "decoded_captures",
     [],
-    """select epoch_us(ts) / 1000000.0::double as timestamp, case kind when 'Ether' then 20 when 'ARP' then 42 else 54 end::bigint as length,
+    """select epoch_us(ts) / 1000000.0::double as timestamp, case kind when 'Ether' then 18 when 'ARP' then 42 else 54 end::bigint as length,
          case kind when 'Ether' then 'Ether' when 'ARP' then concat('Ether / ARP who has ', d, ' says ', s)
            when 'IP' then concat('Ether / ', s, ' > ', d)
            else concat('Ether / IP / ', kind, ' ', s, ':', 40000 + event_id % 9000, ' > ', d, ':',

@@ -51,6 +51,8 @@ ALERTS = _struct(
 
 BLOCKED = _struct(("ip", _STR), ("blocked_at", _TS), ("reason", _STR), ("status", _STR))
 
+BLOCKED_BY_BATCH = T.StructType([*BLOCKED.fields, T.StructField("batch_id", _LONG, True)])
+
 ADDRESS_LIST = _struct(("ip", _STR))
 
 AUDIT = _struct(("timestamp", _TS), ("user", _STR), ("action", _STR), ("details", _STR))

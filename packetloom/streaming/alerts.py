@@ -4,10 +4,9 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
 
 from packetloom.operators.packets import auto_block, raise_alerts
-from packetloom.schemas import ADDRESS_LIST, ALERTS, BLOCKED, PACKETS
+from packetloom.schemas import ADDRESS_LIST, ALERTS, BLOCKED, BLOCKED_BY_BATCH, PACKETS
 
 
 @dataclass(frozen=True)
@@ -44,7 +43,8 @@ class AlertTables:
 def read_table(spark, path, schema):
     """Parquet table, or no rows if nothing has been written yet."""
     try:
-        return spark.read.schema(schema).option("basePath", path).parquet(path)
+        rows = spark.read.schema(schema).option("basePath", path).parquet(path)
+        return rows.select(*schema.names)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -105,9 +105,8 @@ def run_alert_stream(packets, tables, trigger=None, **rules):
 
 def _earlier_blocks(spark, tables, batch_id):
     """Addresses blocked automatically before ``batch_id``."""
-    with_batch = StructType(BLOCKED.fields).add("batch_id", LongType())
     return (
-        read_table(spark, tables.auto_blocks, with_batch)
+        read_table(spark, tables.auto_blocks, BLOCKED_BY_BATCH)
         .filter(F.col("batch_id") < batch_id)
         .select("ip")
     )
