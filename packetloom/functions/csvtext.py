@@ -7,7 +7,7 @@ no stack, so a 10 MiB text is safe.
 
 from pyspark.sql import functions as F
 
-from packetloom.functions.text import first_match
+from packetloom.functions.text import first_match, let
 
 # Delimiters that can be found, in order of preference, the order
 # tried when no delimiter is consistent, and the last resort.
@@ -36,8 +36,7 @@ def without_quoted(text, delimiter):
 
 def lines(text):
     """Lines of a text; the end of the last line opens no further line."""
-    pieces = F.split(ended(text), r"\r?\n")
-    return F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+    return F.split(F.regexp_replace(text, r"\r?\n\z|\r\z", ""), r"\r?\n")
 
 
 def line_width(line, delimiter):
@@ -54,10 +53,10 @@ def row_widths(text, delimiter):
 
 def _consistent(text, delimiter):
     """``delimiter`` occurs equally often, at least once, on all non-blank lines."""
-    widths = F.array_distinct(
-        F.filter(row_widths(text, delimiter), lambda width: width > 0)
-    )
-    return F.contains(text, delimiter) & (F.size(widths) == 1) & (F.get(widths, F.lit(0)) > 1)
+    filled = F.filter(row_widths(text, delimiter), lambda width: width > 0)
+    widths = F.array_distinct(filled)
+    same = let(widths, lambda w: (F.size(w) == 1) & (F.get(w, F.lit(0)) > 1))
+    return F.when(F.contains(text, delimiter), same).otherwise(False)
 
 
 def delimiter_of(text, sample_chars=None):
@@ -97,18 +96,15 @@ def cells(text, delimiter):
     )
     # Each field is followed by what ended it, between the two marks. The text
     # ends with a line feed, so the match at its very end is always surplus.
-    marked = F.regexp_replace(
-        ended(text), field, F.lit(f"$1{_CELL_END}$2$3{_ROW_END}")
-    )
-    marked = F.substring(marked, F.lit(1), F.length(marked) - 2)
+    marked = F.regexp_replace(ended(text), field, F.lit(f"$1{_CELL_END}$2$3{_ROW_END}"))
+    marked = F.regexp_replace(marked, rf"{_CELL_END}{_ROW_END}\z", "")
     marked = F.replace(
         marked,
         F.concat(F.lit(_CELL_END), delimiter, F.lit(_ROW_END)),
         F.lit(_CELL_END),
     )
     marked = F.regexp_replace(marked, f"{_CELL_END}(?:\r?\n)?{_ROW_END}", _ROW_END)
-    rows = F.split(marked, _ROW_END)
-    rows = F.slice(rows, F.lit(1), F.size(rows) - 1)
+    rows = F.split(F.regexp_replace(marked, rf"{_ROW_END}\z", ""), _ROW_END)
     return F.transform(rows, _row_cells)
 
 

@@ -36,6 +36,11 @@ def first_match(rules, default=None):
     return chain.otherwise(default)
 
 
+def let(value, body):
+    """``body(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def human_bytes(col):
     """Byte count as text, e.g. ``1.27KB``; below 1024 it is ``80B``."""
 

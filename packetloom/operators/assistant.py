@@ -175,7 +175,7 @@ def assemble_chunks(chunks, key, seq, block=1000):
         chunks.groupBy(key, F.floor(F.col(seq) / block).alias("run"))
         .agg(F.array_sort(F.collect_list(chunk)).alias("items"))
         .withColumn("plain", F.filter("items", lambda item: ~item["thinks"]))
-        .withColumn("last_plain", F.element_at(F.col("plain.seq"), -1))
+        .withColumn("last_plain", F.try_element_at(F.col("plain.seq"), F.lit(-1)))
         .withColumn(
             "tail",
             F.filter(
@@ -200,7 +200,7 @@ def assemble_chunks(chunks, key, seq, block=1000):
         runs.groupBy(key)
         .agg(F.array_sort(F.collect_list("part")).alias("parts"))
         .withColumn("plain", F.filter("parts", lambda part: part["has_plain"]))
-        .withColumn("last_plain", F.element_at(F.col("plain.run"), -1))
+        .withColumn("last_plain", F.try_element_at(F.col("plain.run"), F.lit(-1)))
         .withColumn(
             "tail",
             F.filter(

@@ -8,7 +8,7 @@ file source as filters, so a rejected file's bytes are not read.
 from pyspark.sql import functions as F
 
 from packetloom.functions import csvtext
-from packetloom.functions.text import first_match, strip
+from packetloom.functions.text import first_match, let, strip
 from packetloom.operators.lists import audit
 
 # Size limit, file name ending, signatures of binary files,
@@ -107,17 +107,24 @@ def shape_reason(text, delimiter, max_rows=None):
 
     All rows are compared; ``max_rows`` limits the check to the first ones.
     """
-    widths = csvtext.row_widths(text, delimiter)
-    checked = widths if max_rows is None else F.slice(widths, 1, max_rows)
-    first = F.get(widths, F.lit(0))
-    uneven = F.array_position(F.transform(checked, lambda w: w != first), True)
+
+    def uneven_reason(widths):
+        first = F.get(widths, F.lit(0))
+        checked = widths if max_rows is None else F.slice(widths, 1, max_rows)
+        row = let(
+            first,
+            lambda w0: F.array_position(F.transform(checked, lambda w: w != w0), True),
+        )
+        return F.when(first == 0, F.lit(NO_COLUMNS)).otherwise(
+            let(row, lambda r: F.when(r > 0, _filled(RAGGED_ROW, r.cast("string"))))
+        )
+
     return first_match(
         [
             (text == "", F.lit(EMPTY_FILE)),
             (csvtext.has_stray_return(text, delimiter), F.lit(BROKEN_CSV)),
-            (first == 0, F.lit(NO_COLUMNS)),
-            (uneven > 0, _filled(RAGGED_ROW, uneven.cast("string"))),
-        ]
+        ],
+        let(csvtext.row_widths(text, delimiter), uneven_reason),
     )
 
 
@@ -176,28 +183,50 @@ def _cheap_reason(max_bytes):
 
 
 def _read(files, max_bytes, sample_chars, max_rows):
-    """Verdicts of the files whose size and name are in order."""
-    small = files.filter(F.col("length") <= max_bytes)
-    text, delimiter = F.col("text"), F.col("delimiter")
-    pending = F.col("reason").isNull()
-    rows = csvtext.cells(text, delimiter)
-    formula = F.exists(rows, lambda row: F.exists(row, lambda c: _is_formula(strip(c))))
-    return (
-        _named(small)
-        .filter(name_reason(F.col("file")).isNull())
-        .withColumn("reason", signature_reason(F.col("content")))
-        .withColumn("text", F.when(pending, decoded(F.col("content"))))
-        .drop("content")
-        .withColumn("reason", F.coalesce("reason", script_reason(text)))
-        .withColumn("delimiter", F.when(pending, csvtext.delimiter_of(text, sample_chars)))
-        .withColumn(
-            "reason",
-            F.coalesce("reason", F.when(pending, shape_reason(text, delimiter, max_rows))),
-        )
-        .withColumn("accepted", pending)
-        .withColumn("delimiter", F.when(pending, delimiter))
-        .withColumn("formula_found", F.when(pending, formula))
+    """Verdicts of the files whose size and name are in order.
+
+    The verdict is one struct made in a single pass over the text. It is
+    exploded from a one-element array so that a later filter on it is not
+    moved below, where the whole check would run a second time.
+    """
+    small = _named(files.filter(F.col("length") <= max_bytes)).filter(
+        name_reason(F.col("file")).isNull()
     )
+    kept = [F.col(f"`{name}`") for name in small.columns if name != "content"]
+    verdict = _verdict(F.col("content"), sample_chars, max_rows)
+    return small.select(*kept, F.explode_outer(F.array(verdict)).alias("verdict")).select(
+        *kept, "verdict.*"
+    )
+
+
+def _verdict(content, sample_chars, max_rows):
+    def of_text(text):
+        early = F.coalesce(signature_reason(content), script_reason(text))
+        return let(early, lambda reason: of_early(text, reason))
+
+    def of_early(text, early):
+        found = F.when(early.isNull(), csvtext.delimiter_of(text, sample_chars))
+        return let(found, lambda delimiter: of_shape(text, early, delimiter))
+
+    def of_shape(text, early, delimiter):
+        shape = F.when(early.isNull(), shape_reason(text, delimiter, max_rows))
+        return let(F.coalesce(early, shape), lambda reason: verdict(text, delimiter, reason))
+
+    def verdict(text, delimiter, reason):
+        accepted = reason.isNull()
+        formula = F.exists(
+            csvtext.cells(text, delimiter),
+            lambda row: F.exists(row, lambda cell: _is_formula(strip(cell))),
+        )
+        return F.struct(
+            reason.alias("reason"),
+            accepted.alias("accepted"),
+            F.when(accepted, text).alias("text"),
+            F.when(accepted, delimiter).alias("delimiter"),
+            F.when(accepted, formula).alias("formula_found"),
+        )
+
+    return let(decoded(content), of_text)
 
 
 def accepted_uploads(files, max_bytes=MAX_BYTES, sample_chars=None, max_rows=None):
@@ -212,7 +241,7 @@ def accepted_uploads(files, max_bytes=MAX_BYTES, sample_chars=None, max_rows=Non
 def clean_rows(accepted):
     """Rows of accepted files: path, row number from 1, defused cells."""
     rows = csvtext.cells(F.col("text"), F.col("delimiter"))
-    return accepted.select("path", F.posexplode(rows).alias("row_no", "cells")).select(
+    return accepted.select("path", F.posexplode_outer(rows).alias("row_no", "cells")).select(
         "path",
         (F.col("row_no") + 1).alias("row_no"),
         F.transform("cells", defused).alias("cells"),

@@ -168,7 +168,7 @@ select concat('/documents/', doc_id, '.csv') as path, concat(doc_id, '.csv') as
 
 CELLS = """
 select o_orderkey, case o_orderkey % 6 when 0 then concat('=', o_orderstatus) when 1 then concat(' -', o_custkey)
-   when 2 then concat(chr(160), '@', o_orderstatus, chr(8195)) when 3 then concat(chr(9), 'a b', chr(10))
+   when 2 then concat(chr(160), '@', o_orderstatus, chr(28)) when 3 then concat(chr(9), 'a b', chr(10))
    when 4 then '+' else o_orderpriority end as cell_a, o_orderpriority as cell_b
 from {orders}
 """
