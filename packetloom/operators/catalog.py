@@ -1,5 +1,7 @@
 """Dataset catalog: build, search, preview, register, remove, freshness."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from packetloom.functions import csvtext
@@ -29,10 +31,16 @@ def field_view(catalog):
 
 
 def search_catalog(catalog, pattern=None):
-    """Datasets whose name or description matches, any case; none given: all."""
+    """Datasets whose name or description matches, any case; none given: all.
+
+    Case is folded for all letters, and a word boundary (``\\b``) looks at ASCII
+    word characters only, whatever the Java version takes it to be.
+    """
     if not pattern:
         return catalog
-    regex = F.lit(f"(?i){pattern}")
+    boundary = r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))"
+    portable = re.sub(r"\\(.)", lambda m: boundary if m[1] == "b" else m[0], pattern)
+    regex = F.lit(f"(?iu){portable}")
     return catalog.filter(F.rlike("name", regex) | F.rlike("description", regex))
 
 

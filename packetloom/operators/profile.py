@@ -33,24 +33,21 @@ def profile(df, exact=True, accuracy=100000):
     they come from the sketch of the first pass alone.
     """
     names = _numeric(df)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    values = df.select([_value(n).alias(n) for n in names])
-    long = _unpivot(values, names)
-    stats = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        *([] if exact else [_sketch(q, accuracy).alias(n) for n, q in QUARTILES]),
+    kinds = df.sparkSession.createDataFrame(
+        [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
+        "position int, column string, type string",
     )
+    values = df.select([_value(n).alias(n) for n in names])
+    if not names:
+        empty = ("mean", "std", "min", *[n for n, _ in QUARTILES], "max")
+        return kinds.withColumn("count", F.lit(0).cast("long")).select(
+            "*", *[F.lit(None).cast("double").alias(name) for name in empty]
+        )
+    sketched = () if exact else QUARTILES
+    stats = _long(values.agg(*[_statistics(n, sketched, accuracy) for n in names]), names)
     if exact:
         points = exact_percentiles(values, names, QUARTILES, accuracy)
         stats = stats.join(points, "column", "left")
-    kinds = df.sparkSession.createDataFrame(
-        [(i, name, kind) for i, (name, kind) in enumerate(types.items())],
-        "position int, column string, type string",
-    )
     return kinds.join(stats, "column", "left").select(
         "position",
         "column",
@@ -64,76 +61,108 @@ def profile(df, exact=True, accuracy=100000):
     )
 
 
-def _unpivot(values, names):
-    """Rows ``column, value``; every column is present even if it has no value."""
-    pairs = F.array(
+def _statistics(name, points, accuracy):
+    value = F.col(f"`{name}`")
+    return F.struct(
+        F.count(value).alias("count"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+        *[F.percentile_approx(value, q, accuracy).alias(n) for n, q in points],
+    ).alias(name)
+
+
+def _pairs(names):
+    """``column, value`` for each column of a row, ready to explode."""
+    return F.array(
         *[F.struct(F.lit(n).alias("column"), F.col(f"`{n}`").alias("value")) for n in names]
     )
-    return values.select(F.explode(pairs).alias("pair")).select("pair.*")
-
 
-def _sketch(share, accuracy):
-    return F.percentile_approx("value", share, accuracy)
 
+def _long(wide, names):
+    return wide.select(F.explode(_pairs(names)).alias("pair")).select(
+        "pair.column", "pair.value.*"
+    )
 
-def exact_percentiles(values, names, points=QUARTILES, accuracy=100000):
-    """Exact interpolated percentiles of each double column in ``names``.
 
-    The sketch is off by at most ``1 / accuracy`` of the rows in rank; the
-    bracket reaches four times as far on either side.
-    """
-    margin = 4.0 / accuracy
-    long = _unpivot(values, names).filter(F.col("value").isNotNull())
-    brackets = long.groupBy("column").agg(
-        F.count("*").alias("n"),
+def _brackets(name, points, accuracy):
+    """Number of values and, per percentile, a value bracket around it."""
+    value, margin = F.col(f"`{name}`"), 4.0 / accuracy
+    return F.struct(
+        F.count(value).alias("n"),
         F.array(
             *[
                 F.struct(
-                    F.lit(name).alias("point"),
+                    F.lit(point).alias("point"),
                     F.lit(share).alias("share"),
-                    _sketch(max(share - margin, 0.0), accuracy).alias("low"),
-                    _sketch(min(share + margin, 1.0), accuracy).alias("high"),
+                    F.percentile_approx(value, max(share - margin, 0.0), accuracy).alias("low"),
+                    F.percentile_approx(value, min(share + margin, 1.0), accuracy).alias("high"),
                 )
-                for name, share in points
+                for point, share in points
             ]
         ).alias("brackets"),
     )
+
+
+def exact_percentiles(values, names, points=QUARTILES, accuracy=100000):
+    """Exact interpolated percentiles of each double column in ``names``.
+
+    The sketch is off by at most ``1 / accuracy`` of the rows in rank; the
+    bracket reaches four times as far on either side. In a short table the
+    next rank may still lie just outside, so the neighbours of each bracket
+    are kept as well.
+    """
     # One map of a few dozen numbers, read by every task as a constant.
-    by_column = brackets.agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("column", F.struct("n", "brackets").alias("b")))
-        )
+    limits = values.agg(
+        F.create_map(
+            *[x for n in names for x in (F.lit(n), _brackets(n, points, accuracy))]
+        ).alias("limits")
     ).scalar()
-    placed = (
-        long.select("column", "value", by_column[F.col("column")].alias("b"))
+    value, low, high = F.col("value"), F.col("b.low"), F.col("b.high")
+    zone = F.when(value < low, 0).when(value > high, 2).otherwise(1)
+    counted = (
+        values.select(F.explode(_pairs(names)).alias("pair"))
+        .select("pair.*")
+        .filter(value.isNotNull())
+        .select("column", "value", limits[F.col("column")].alias("b"))
         .select("column", "value", F.col("b.n").alias("n"), F.explode("b.brackets").alias("b"))
-        .filter(F.col("value") <= F.col("b.high"))
         .groupBy(
             "column",
             "n",
             F.col("b.point").alias("point"),
             F.col("b.share").alias("share"),
-            # All rows below the bracket share one NULL group.
-            F.when(F.col("value") >= F.col("b.low"), F.col("value")).alias("value"),
+            zone.alias("zone"),
+            F.when(zone == 1, value).alias("inside"),
+        )
+        .agg(
+            F.count("*").alias("rows"),
+            F.min("value").alias("smallest"),
+            F.max("value").alias("largest"),
         )
-        .agg(F.count("*").alias("rows"))
     )
-    order = Window.partitionBy("column", "point").orderBy(F.asc_nulls_first("value"))
-    upto = F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    order = Window.partitionBy("column", "point").orderBy("zone", "smallest")
+    end = F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, 0))
     rank = (F.col("n") - 1) * F.col("share")
-    below, above = F.floor(rank), F.ceil(rank)
+    first, last = F.col("end") - F.col("rows"), F.col("end") - 1
 
     def at(position):
-        inside = (position >= F.col("upto") - F.col("rows")) & (position < F.col("upto"))
-        return F.max(F.when(inside, F.col("value")))
+        """Value at a 0-based rank; NULL where a group does not settle it."""
+        held = (position >= first) & (position <= last)
+        known = (
+            F.when(position == last, F.col("largest"))
+            .when(position == first, F.col("smallest"))
+            .when(F.col("zone") == 1, F.col("smallest"))
+        )
+        return F.max(F.when(held, known))
 
     found = (
-        placed.withColumn("upto", upto)
+        counted.withColumn("end", end)
         .groupBy("column", "point")
         .agg(
-            at(below).alias("lower"),
-            at(above).alias("upper"),
-            F.max(rank - below).alias("weight"),
+            at(F.floor(rank)).alias("lower"),
+            at(F.ceil(rank)).alias("upper"),
+            F.max(rank - F.floor(rank)).alias("weight"),
         )
         .withColumn(
             "value",
