@@ -7,11 +7,12 @@ by a sort-merge join whose hot sources adaptive execution splits.
 
 from pyspark.sql import functions as F
 
-from packetloom.functions.text import first_match, local_text, mask_address
+from packetloom.functions.text import first_match, let, local_text, mask_address
 
 # Protocol names, placeholders, alert rules (port name, port
 # number, message, whether exempt sources raise no alert), the exempt source,
-# the reason of automatic blocks, alert grades and the display format.
+# the reason of automatic blocks, alert grades, the separator of a summary and
+# the display format.
 LINK_SOURCE, LINK_TARGET, LINK_PROTOCOL = "Layer 2", "Broadcast", "Ether"
 UNKNOWN = "???"
 ALERT_RULES = (
@@ -26,6 +27,7 @@ AUTO_BLOCK_REASON = "AUTO-BLOCK: Presente in Black-List"
 BLOCKED_STATUS = "BLOCKED"
 MITIGATED_GRADE = ("INFO", "MITIGATED")
 ACTIVE_GRADE = ("CRITICAL", "ACTIVE")
+SEPARATOR = " > "
 DISPLAY_TIME = "dd-MM-yyyy HH:mm:ss"
 DISPLAY_SUMMARY_CHARS = 80
 
@@ -62,8 +64,14 @@ def normalize_packets(headers):
 
 def destination_part(summary):
     """Text after the first `` > `` in lower case; NULL without a separator."""
-    pieces = F.split(F.lower(summary), " > ")
-    return F.try_element_at(pieces, F.lit(2))
+
+    def part(text):
+        start = F.instr(text, SEPARATOR) + len(SEPARATOR)
+        after = F.substring(text, start, F.length(text))
+        found = F.contains(text, F.lit(SEPARATOR))
+        return F.when(found, F.substring_index(after, SEPARATOR, 1))
+
+    return let(F.lower(summary), part)
 
 
 def alert_candidates(packets, exempt=EXEMPT_SOURCES, strict=False):
@@ -74,11 +82,11 @@ def alert_candidates(packets, exempt=EXEMPT_SOURCES, strict=False):
     ``strict`` compares the whole port instead.
     """
     part = destination_part(F.coalesce("summary", F.lit("")))
-    port = F.regexp_extract(part, r":([^\s:]+)(?:\s|\z)", 1)
     exempted = _known("src").isin(*exempt) if exempt else F.lit(False)
 
-    def hit(name, number, may_exempt):
+    def hit(part, name, number, may_exempt):
         if strict:
+            port = F.regexp_extract(part, r":([^\s:]+)(?:\s|\z)", 1)
             found = port.isin(name, number)
         else:
             found = F.contains(part, F.lit(f":{name}")) | F.contains(
@@ -86,17 +94,19 @@ def alert_candidates(packets, exempt=EXEMPT_SOURCES, strict=False):
             )
         return found & ~exempted if may_exempt else found
 
-    message = first_match(
-        [
-            (hit(name, number, may_exempt), F.concat(F.lit(text), _known("dst")))
-            for name, number, text, may_exempt in ALERT_RULES
-        ]
-    )
+    def message(part):
+        return first_match(
+            [
+                (hit(part, name, number, may_exempt), F.concat(F.lit(text), _known("dst")))
+                for name, number, text, may_exempt in ALERT_RULES
+            ]
+        )
+
     return (
         packets.filter(F.col("proto") == "TCP")
         .select(
             "timestamp",
-            message.alias("message"),
+            let(part, message).alias("message"),
             _known("src").alias("source"),
             _known("dst").alias("target"),
         )

@@ -3,9 +3,9 @@
 An exact percentile is usually computed by gathering every distinct value in
 one task. Here a first pass over the table takes the ordinary statistics and a
 narrow bracket around each percentile from a mergeable sketch. A second pass
-counts the rows below each bracket and, by value, those inside it. Only the
-values inside the brackets, a fraction of about ``8 / accuracy`` of the rows,
-are sorted, one task per column and percentile.
+counts the rows outside each bracket and, by value, those inside it, a fraction
+of about ``8 / accuracy`` of the rows. A bracket is cut into equal slots; only
+the one or two slots that hold the wanted ranks are sorted.
 """
 
 from pyspark.sql import Window
@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 # The percentiles of a profile.
 QUARTILES = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
 
+SLOTS = 1000
+ACCURACY = 10000
+
 
 def _numeric(df):
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
@@ -26,7 +29,7 @@ def _value(name):
     return F.when(~F.isnan(number), number)
 
 
-def profile(df, exact=True, accuracy=100000):
+def profile(df, exact=True, accuracy=ACCURACY):
     """One row per column: type, count, mean, std, min, quartiles, max.
 
     Quartiles interpolate linearly between neighbours. With ``exact=False``
@@ -89,6 +92,11 @@ def _long(wide, names):
 def _brackets(name, points, accuracy):
     """Number of values and, per percentile, a value bracket around it."""
     value, margin = F.col(f"`{name}`"), 4.0 / accuracy
+    shares = [
+        share for _, q in points for share in (max(q - margin, 0.0), min(q + margin, 1.0))
+    ]
+    # One sketch per column serves all brackets.
+    ends = F.percentile_approx(value, shares, accuracy)
     return F.struct(
         F.count(value).alias("n"),
         F.array(
@@ -96,16 +104,16 @@ def _brackets(name, points, accuracy):
                 F.struct(
                     F.lit(point).alias("point"),
                     F.lit(share).alias("share"),
-                    F.percentile_approx(value, max(share - margin, 0.0), accuracy).alias("low"),
-                    F.percentile_approx(value, min(share + margin, 1.0), accuracy).alias("high"),
+                    F.get(ends, F.lit(2 * i)).alias("low"),
+                    F.get(ends, F.lit(2 * i + 1)).alias("high"),
                 )
-                for point, share in points
+                for i, (point, share) in enumerate(points)
             ]
         ).alias("brackets"),
     )
 
 
-def exact_percentiles(values, names, points=QUARTILES, accuracy=100000):
+def exact_percentiles(values, names, points=QUARTILES, accuracy=ACCURACY):
     """Exact interpolated percentiles of each double column in ``names``.
 
     The sketch is off by at most ``1 / accuracy`` of the rows in rank; the
@@ -120,7 +128,9 @@ def exact_percentiles(values, names, points=QUARTILES, accuracy=100000):
         ).alias("limits")
     ).scalar()
     value, low, high = F.col("value"), F.col("b.low"), F.col("b.high")
-    zone = F.when(value < low, 0).when(value > high, 2).otherwise(1)
+    slot = F.coalesce(F.width_bucket(value, low, high, F.lit(SLOTS)), F.lit(0))
+    slot = F.when(value < low, -1).when(value > high, 2 * SLOTS).otherwise(slot)
+    inside = F.when((value >= low) & (value <= high), value)
     counted = (
         values.select(F.explode(_pairs(names)).alias("pair"))
         .select("pair.*")
@@ -132,8 +142,8 @@ def exact_percentiles(values, names, points=QUARTILES, accuracy=100000):
             "n",
             F.col("b.point").alias("point"),
             F.col("b.share").alias("share"),
-            zone.alias("zone"),
-            F.when(zone == 1, value).alias("inside"),
+            slot.cast("int").alias("slot"),
+            inside.alias("inside"),
         )
         .agg(
             F.count("*").alias("rows"),
@@ -141,9 +151,24 @@ def exact_percentiles(values, names, points=QUARTILES, accuracy=100000):
             F.max("value").alias("largest"),
         )
     )
-    order = Window.partitionBy("column", "point").orderBy("zone", "smallest")
-    end = F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, 0))
     rank = (F.col("n") - 1) * F.col("share")
+    # Rows before each slot: a few thousand slots per column, not values.
+    slots = Window.partitionBy("column", "point").orderBy("slot")
+    offsets = (
+        counted.groupBy("column", "point", "slot")
+        .agg(F.sum("rows").alias("total"))
+        .withColumn(
+            "before", F.sum("total").over(slots.rowsBetween(Window.unboundedPreceding, 0))
+            - F.col("total"),
+        )
+    )
+    wanted = (F.ceil(rank) >= F.col("before")) & (
+        F.floor(rank) < F.col("before") + F.col("total")
+    )
+    order = Window.partitionBy("column", "point", "slot").orderBy("smallest")
+    end = F.col("before") + F.sum("rows").over(
+        order.rowsBetween(Window.unboundedPreceding, 0)
+    )
     first, last = F.col("end") - F.col("rows"), F.col("end") - 1
 
     def at(position):
@@ -152,12 +177,14 @@ def exact_percentiles(values, names, points=QUARTILES, accuracy=100000):
         known = (
             F.when(position == last, F.col("largest"))
             .when(position == first, F.col("smallest"))
-            .when(F.col("zone") == 1, F.col("smallest"))
+            .when(F.col("inside").isNotNull(), F.col("inside"))
         )
         return F.max(F.when(held, known))
 
     found = (
-        counted.withColumn("end", end)
+        counted.join(offsets, ["column", "point", "slot"])
+        .filter(wanted)
+        .withColumn("end", end)
         .groupBy("column", "point")
         .agg(
             at(F.floor(rank)).alias("lower"),

@@ -200,7 +200,10 @@ def _read(files, max_bytes, sample_chars, max_rows):
 
 
 def _verdict(content, sample_chars, max_rows):
-    def of_text(text):
+    def of_content(content):
+        return let(decoded(content), lambda text: of_text(content, text))
+
+    def of_text(content, text):
         early = F.coalesce(signature_reason(content), script_reason(text))
         return let(early, lambda reason: of_early(text, reason))
 
@@ -226,7 +229,7 @@ def _verdict(content, sample_chars, max_rows):
             F.when(accepted, formula).alias("formula_found"),
         )
 
-    return let(decoded(content), of_text)
+    return let(content, of_content)
 
 
 def accepted_uploads(files, max_bytes=MAX_BYTES, sample_chars=None, max_rows=None):
