@@ -28,20 +28,40 @@ def ended(text):
     )
 
 
+def _per_delimiter(delimiter, build):
+    """``build(d)`` for the delimiter of each row.
+
+    ``delimiter`` is a text or a column. Patterns stay constant this way, so
+    each is compiled once per task and not for every row.
+    """
+    if isinstance(delimiter, str):
+        return build(delimiter)
+    return first_match([(delimiter == d, build(d)) for d in CANDIDATES])
+
+
 def without_quoted(text, delimiter):
-    """Replace each quoted field by one plain character; ``delimiter`` is a column."""
-    pattern = F.concat(F.lit("(^|["), delimiter, F.lit(r"\r\n])" + _QUOTED))
-    return F.regexp_replace(text, pattern, F.lit("$1q"))
+    """Replace each quoted field by one plain character."""
+
+    def replaced(d):
+        return F.regexp_replace(text, rf"(^|[{d}\r\n]){_QUOTED}", "$1q")
+
+    return F.when(
+        F.contains(text, F.lit('"')), _per_delimiter(delimiter, replaced)
+    ).otherwise(text)
 
 
 def lines(text):
     """Lines of a text; the end of the last line opens no further line."""
-    return F.split(F.regexp_replace(text, r"\r?\n\z|\r\z", ""), r"\r?\n")
+    whole = F.regexp_replace(
+        F.replace(text, F.lit("\r\n"), F.lit("\n")), r"[\r\n]\z", ""
+    )
+    return F.split(whole, "\n")
 
 
 def line_width(line, delimiter):
     """Number of fields in a line without quoted fields; 0 if it is empty."""
-    count = F.length(line) - F.length(F.replace(line, delimiter, F.lit("")))
+    mark = F.lit(delimiter) if isinstance(delimiter, str) else delimiter
+    count = F.length(line) - F.length(F.replace(line, mark, F.lit("")))
     return F.when(line == "", F.lit(0)).otherwise(count + 1)
 
 
@@ -56,7 +76,7 @@ def _consistent(text, delimiter):
     filled = F.filter(row_widths(text, delimiter), lambda width: width > 0)
     widths = F.array_distinct(filled)
     same = let(widths, lambda w: (F.size(w) == 1) & (F.get(w, F.lit(0)) > 1))
-    return F.when(F.contains(text, delimiter), same).otherwise(False)
+    return F.when(F.contains(text, F.lit(delimiter)), same).otherwise(False)
 
 
 def delimiter_of(text, sample_chars=None):
@@ -73,7 +93,7 @@ def delimiter_of(text, sample_chars=None):
             (F.length(text) > sample_chars) & F.contains(sample, F.lit("\n")),
             F.regexp_replace(sample, r"\n[^\n]*\z", "\n"),
         ).otherwise(sample)
-    rules = [(_consistent(whole_lines, F.lit(d)), F.lit(d)) for d in CANDIDATES]
+    rules = [(_consistent(whole_lines, d), F.lit(d)) for d in CANDIDATES]
     rules += [(F.contains(sample, F.lit(d)), F.lit(d)) for d in FALLBACK]
     return first_match(rules, F.lit(DEFAULT_DELIMITER))
 
@@ -85,24 +105,16 @@ def has_stray_return(text, delimiter):
 
 def cells(text, delimiter):
     """Rows of a CSV text as an array of arrays of unquoted fields."""
-    field = F.concat(
-        F.lit("(" + _QUOTED + "[^"),
-        delimiter,
-        F.lit(r"\r\n]*+|[^"),
-        delimiter,
-        F.lit(r"\r\n]*+)(?:(["),
-        delimiter,
-        F.lit(r"])|(\r?\n)|\z)"),
-    )
+    return _per_delimiter(delimiter, lambda d: _cells(text, d))
+
+
+def _cells(text, d):
+    field = rf"({_QUOTED}[^{d}\r\n]*+|[^{d}\r\n]*+)(?:([{d}])|(\r?\n)|\z)"
     # Each field is followed by what ended it, between the two marks. The text
     # ends with a line feed, so the match at its very end is always surplus.
-    marked = F.regexp_replace(ended(text), field, F.lit(f"$1{_CELL_END}$2$3{_ROW_END}"))
+    marked = F.regexp_replace(ended(text), field, f"$1{_CELL_END}$2$3{_ROW_END}")
     marked = F.regexp_replace(marked, rf"{_CELL_END}{_ROW_END}\z", "")
-    marked = F.replace(
-        marked,
-        F.concat(F.lit(_CELL_END), delimiter, F.lit(_ROW_END)),
-        F.lit(_CELL_END),
-    )
+    marked = F.replace(marked, F.lit(f"{_CELL_END}{d}{_ROW_END}"), F.lit(_CELL_END))
     marked = F.regexp_replace(marked, f"{_CELL_END}(?:\r?\n)?{_ROW_END}", _ROW_END)
     rows = F.split(F.regexp_replace(marked, rf"{_ROW_END}\z", ""), _ROW_END)
     return F.transform(rows, _row_cells)

@@ -8,7 +8,7 @@ file source as filters, so a rejected file's bytes are not read.
 from pyspark.sql import functions as F
 
 from packetloom.functions import csvtext
-from packetloom.functions.text import first_match, let, strip
+from packetloom.functions.text import WHITE_SPACE, first_match, let, strip
 from packetloom.operators.lists import audit
 
 # Size limit, file name ending, signatures of binary files,
@@ -131,11 +131,12 @@ def shape_reason(text, delimiter, max_rows=None):
 def defused(cell):
     """Trimmed cell; one that starts like a formula gets a leading quote mark."""
     bare = strip(cell)
-    return F.when(_is_formula(bare), F.concat(F.lit(FORMULA_GUARD), bare)).otherwise(bare)
+    return F.when(_is_formula(cell), F.concat(F.lit(FORMULA_GUARD), bare)).otherwise(bare)
 
 
-def _is_formula(bare):
-    return F.rlike(bare, F.lit(f"^[{FORMULA_STARTS}]"))
+def _is_formula(cell):
+    """The cell starts like a formula, white space aside."""
+    return F.rlike(cell, F.lit(rf"^[{WHITE_SPACE}]*+[{FORMULA_STARTS}]"))
 
 
 def defuse_formulas(df, columns=None):
@@ -217,10 +218,14 @@ def _verdict(content, sample_chars, max_rows):
 
     def verdict(text, delimiter, reason):
         accepted = reason.isNull()
-        formula = F.exists(
-            csvtext.cells(text, delimiter),
-            lambda row: F.exists(row, lambda cell: _is_formula(strip(cell))),
-        )
+        # Most texts hold none of the start characters and need no splitting.
+        formula = F.when(
+            F.rlike(text, F.lit(f"[{FORMULA_STARTS}]")),
+            F.exists(
+                csvtext.cells(text, delimiter),
+                lambda row: F.exists(row, _is_formula),
+            ),
+        ).otherwise(False)
         return F.struct(
             reason.alias("reason"),
             accepted.alias("accepted"),

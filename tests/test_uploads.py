@@ -29,8 +29,8 @@ def test_cells_equal_the_csv_module(spark):
     values = [t for t in texts(1) if t]
     df = frame(spark, values).select(
         "i",
-        csvtext.cells(F.col("text"), F.lit(",")).alias("cells"),
-        csvtext.has_stray_return(F.col("text"), F.lit(",")).alias("stray"),
+        csvtext.cells(F.col("text"), ",").alias("cells"),
+        csvtext.has_stray_return(F.col("text"), ",").alias("stray"),
     )
     for row in df.collect():
         try:
