@@ -25,7 +25,7 @@ HEADLINE = (
     "normalized_packets", "graded_alerts", "auto_blocks", "latest_packets",
     "alert_stream_run", "traffic_stream_run", "upserted_blocks", "attack_banner",
     "flow_packet_matches", "volume_both", "sql_verdicts", "catalog_search",
-    "column_profile", "upload_verdicts", "text_file_verdicts", "clean_upload_rows",
+    "column_profile", "upload_verdicts", "text_file_verdicts",
     "routed_questions", "assistant_prompts", "split_replies", "assembled_replies",
 )
 
