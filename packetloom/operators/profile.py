@@ -8,6 +8,9 @@ of about ``8 / accuracy`` of the rows. A bracket is cut into equal slots; only
 the one or two slots that hold the wanted ranks are sorted.
 """
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,12 +105,10 @@ def _brackets(name, points, accuracy):
         F.array(
             *[
                 F.struct(
-                    F.lit(point).alias("point"),
-                    F.lit(share).alias("share"),
                     F.get(ends, F.lit(2 * i)).alias("low"),
                     F.get(ends, F.lit(2 * i + 1)).alias("high"),
                 )
-                for i, (point, share) in enumerate(points)
+                for i in range(len(points))
             ]
         ).alias("brackets"),
     )
@@ -127,38 +128,70 @@ def exact_percentiles(values, names, points=QUARTILES, accuracy=ACCURACY):
             *[x for n in names for x in (F.lit(n), _brackets(n, points, accuracy))]
         ).alias("limits")
     ).scalar()
-    value, low, high = F.col("value"), F.col("b.low"), F.col("b.high")
-    slot = F.coalesce(F.width_bucket(value, low, high, F.lit(SLOTS)), F.lit(0))
-    slot = F.when(value < low, -1).when(value > high, 2 * SLOTS).otherwise(slot)
-    inside = F.when((value >= low) & (value <= high), value)
-    counted = (
+    value = F.col("value")
+
+    def slot(bracket):
+        """Slot of the value in a bracket; below and above it lie one slot each."""
+        low, high = bracket["low"], bracket["high"]
+        within = F.coalesce(F.width_bucket(value, low, high, F.lit(SLOTS)), F.lit(0))
+        return F.when(value < low, -1).when(value > high, 2 * SLOTS).otherwise(within.cast("int"))
+
+    def in_bracket(slot_no):
+        return (slot_no >= 0) & (slot_no < 2 * SLOTS)
+
+    slots = [slot(F.get(F.col("b.brackets"), F.lit(i))) for i in range(len(points))]
+    inside_any = reduce(or_, [in_bracket(F.get("slots", F.lit(i))) for i in range(len(points))])
+    # A row outside all brackets adds to a group that its neighbours share.
+    first_count = (
         values.select(F.explode(_pairs(names)).alias("pair"))
         .select("pair.*")
         .filter(value.isNotNull())
         .select("column", "value", limits[F.col("column")].alias("b"))
-        .select("column", "value", F.col("b.n").alias("n"), F.explode("b.brackets").alias("b"))
+        .select("column", "value", F.col("b.n").alias("n"), F.array(*slots).alias("slots"))
+        .groupBy("column", "n", "slots", F.when(inside_any, value).alias("inside"))
+        .agg(
+            F.count("*").alias("rows"),
+            F.min("value").alias("smallest"),
+            F.max("value").alias("largest"),
+        )
+    )
+    named = F.array(
+        *[
+            F.struct(
+                F.lit(point).alias("point"),
+                F.lit(share).alias("share"),
+                F.get("slots", F.lit(i)).alias("slot"),
+            )
+            for i, (point, share) in enumerate(points)
+        ]
+    )
+    counted = (
+        first_count.select(
+            "column", "n", "inside", "rows", "smallest", "largest", F.explode(named).alias("p")
+        )
+        .select("column", "n", "p.*", "inside", "rows", "smallest", "largest")
         .groupBy(
             "column",
             "n",
-            F.col("b.point").alias("point"),
-            F.col("b.share").alias("share"),
-            slot.cast("int").alias("slot"),
-            inside.alias("inside"),
+            "point",
+            "share",
+            "slot",
+            F.when(in_bracket(F.col("slot")), F.col("inside")).alias("inside"),
         )
         .agg(
-            F.count("*").alias("rows"),
-            F.min("value").alias("smallest"),
-            F.max("value").alias("largest"),
+            F.sum("rows").alias("rows"),
+            F.min("smallest").alias("smallest"),
+            F.max("largest").alias("largest"),
         )
     )
     rank = (F.col("n") - 1) * F.col("share")
     # Rows before each slot: a few thousand slots per column, not values.
-    slots = Window.partitionBy("column", "point").orderBy("slot")
+    by_slot = Window.partitionBy("column", "point").orderBy("slot")
     offsets = (
         counted.groupBy("column", "point", "slot")
         .agg(F.sum("rows").alias("total"))
         .withColumn(
-            "before", F.sum("total").over(slots.rowsBetween(Window.unboundedPreceding, 0))
+            "before", F.sum("total").over(by_slot.rowsBetween(Window.unboundedPreceding, 0))
             - F.col("total"),
         )
     )
