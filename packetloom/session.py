@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 # Adaptive execution re-plans joins from measured sizes and splits skewed
 # partitions; everything else is left at Spark's defaults.
@@ -40,3 +42,21 @@ def shared_folder(spark):
 def run_folder(spark, name):
     """A fresh sub-folder of the shared folder for one run's tables."""
     return f"{shared_folder(spark)}/packetloom/{name}-{uuid.uuid4().hex}"
+
+
+def ship(spark):
+    """Send this package to the executors, once a session.
+
+    Functions that run on executors are found there by import, so the package
+    must be there too, wherever the driver was started.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_packetloom_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="packetloom-ship-")) / "packetloom.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._packetloom_shipped = True
