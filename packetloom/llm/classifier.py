@@ -23,8 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import load, pieces, rolled, settled, word_hashes
-from packetloom.session import ship
+from packetloom.llm.common import load, pieces, prepare, rolled, settled, word_hashes
 
 BUCKETS = 1 << 20
 #: Labelled rows that the target model is fitted on, at most: those of least hash.
@@ -79,7 +78,7 @@ def gram_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         return pd.DataFrame({"slice": [part["slice"].iloc[0]], **{
             k: [np.stack(part[k].to_list()).sum(0, dtype=np.int64)] for k in ("raw", "good")}})
 
-    ship(docs.sparkSession)
+    prepare(docs.sparkSession)
     # a thousand groups of one row a task: bounded, and equally many for each
     sent = docs.select("text", "good").mapInPandas(count, "slice int, raw array<int>, good array<int>")
     sums = sent.groupBy("slice").applyInPandas(add, "slice int, raw array<bigint>, good array<bigint>").toPandas()
@@ -119,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TARGET_ROWS) -> np.ndarr
 
 def scored(docs: DataFrame, model: np.ndarray, seed: int = SEED) -> DataFrame:
     """``doc`` (all columns), ``log_weight`` and ``sample_key`` = log weight + Gumbel noise."""
-    ship(docs.sparkSession)
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetloom.session import run_folder
+from packetloom.session import run_folder, ship
 
 #: A word is a run of characters other than blank, tab and line ends.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,6 +31,18 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+#: Rows sent to Python at a time: with long texts, Spark's ten thousand are too many.
+BATCH_ROWS = 512
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """What operators with Python functions need: the package on the executors, small batches."""
+    ship(spark)
+    if not 0 < int(spark.conf.get(_BATCH_SETTING, "10000")) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
+
+
 def words(text: Column) -> Column:
     """Words of a text; a null text has none."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
@@ -120,7 +132,7 @@ def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def pieces(batch, column: str, most: int = 4 << 20):
+def pieces(batch, column: str, most: int = 1 << 20):
     """Slices of a pandas batch with at most about ``most`` characters of text."""
     size = batch[column].str.len().fillna(0).cumsum()
     start = 0

@@ -21,8 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import load, settled
-from packetloom.session import ship
+from packetloom.llm.common import load, prepare, settled
 
 K = 20
 EVERY = 20
@@ -201,7 +200,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     graph and one block.
     """
     spark = vectors.sparkSession
-    ship(spark)
+    prepare(spark)
     points = settled(distinct_vectors(vectors, k), "vectors")
     n_shards = max(1, -(-points.count() // SHARD_ROWS))
     graphs = settled(index(points, n_shards), "graphs")

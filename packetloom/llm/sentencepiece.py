@@ -29,8 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import load, settled
-from packetloom.session import ship
+from packetloom.llm.common import load, prepare, settled
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 GIANT = 1 << 15
@@ -236,7 +235,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
            giant_chars: int = GIANT, chunk_chars: int = CHUNK) -> DataFrame:
     """``doc_id`` and ``ids`` of each document."""
     spark = docs.sparkSession
-    ship(spark)
+    prepare(spark)
     shared = spark.sparkContext.broadcast(content(model))
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.md5(text).alias("key"))
@@ -295,7 +294,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
 
 def decode(tokens: DataFrame, ids_col: str = "ids", model: str = MODEL) -> DataFrame:
     """``tokens`` with ``decoded``, the text of its ids."""
-    ship(tokens.sparkSession)
+    prepare(tokens.sparkSession)
     shared = tokens.sparkSession.sparkContext.broadcast(content(model))
 
     @F.pandas_udf("string")

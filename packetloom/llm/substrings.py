@@ -31,8 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import WORD, load, pieces, rolled, settled, word_hashes, words
-from packetloom.session import ship
+from packetloom.llm.common import WORD, load, pieces, prepare, rolled, settled, word_hashes, words
 
 WINDOW = 50
 ANCHOR = 25
@@ -243,7 +242,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     Texts are hashed and dealt once; only documents with repeated anchors are
     kept for the later steps, in a table of the shared folder.
     """
-    ship(docs.sparkSession)
+    prepare(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text, F.md5(text)).alias("digest"))
     own = rows.select("doc_id", "digest", words(F.col("text")).alias("w"))
