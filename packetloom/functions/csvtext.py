@@ -79,22 +79,10 @@ def _consistent(text, delimiter):
     return F.when(F.contains(text, F.lit(delimiter)), same).otherwise(False)
 
 
-def delimiter_of(text, sample_chars=None):
-    """Delimiter of a CSV text.
-
-    ``sample_chars`` limits the characters looked at; the line it cuts is left
-    out of the counts. By default the whole text decides.
-    """
-    sample = text
-    whole_lines = text
-    if sample_chars is not None:
-        sample = F.substring(text, 1, sample_chars)
-        whole_lines = F.when(
-            (F.length(text) > sample_chars) & F.contains(sample, F.lit("\n")),
-            F.regexp_replace(sample, r"\n[^\n]*\z", "\n"),
-        ).otherwise(sample)
-    rules = [(_consistent(whole_lines, d), F.lit(d)) for d in CANDIDATES]
-    rules += [(F.contains(sample, F.lit(d)), F.lit(d)) for d in FALLBACK]
+def delimiter_of(text):
+    """Delimiter of a CSV text; all of its lines decide."""
+    rules = [(_consistent(text, d), F.lit(d)) for d in CANDIDATES]
+    rules += [(F.contains(text, F.lit(d)), F.lit(d)) for d in FALLBACK]
     return first_match(rules, F.lit(DEFAULT_DELIMITER))
 
 

@@ -43,7 +43,6 @@ SCRIPT_MARKERS = (
 )
 FORMULA_STARTS = "=+@-"
 FORMULA_GUARD = "'"
-INTERACTIVE_SAMPLE_CHARS, INTERACTIVE_ROWS = 4096, 50
 TOO_LARGE = "File troppo grande. Il limite massimo è 10MB."
 WRONG_NAME = "Estensione del file non valida. È consentito solo il formato .csv."
 BINARY_FILE = "Rilevato file binario non autorizzato ({}). Iniezione bloccata!"
@@ -102,18 +101,14 @@ def script_reason(text):
     )
 
 
-def shape_reason(text, delimiter, max_rows=None):
-    """Reason if the text is empty, has no columns or rows of unequal width.
-
-    All rows are compared; ``max_rows`` limits the check to the first ones.
-    """
+def shape_reason(text, delimiter):
+    """Reason if the text is empty, has no columns or any row of unequal width."""
 
     def uneven_reason(widths):
         first = F.get(widths, F.lit(0))
-        checked = widths if max_rows is None else F.slice(widths, 1, max_rows)
         row = let(
             first,
-            lambda w0: F.array_position(F.transform(checked, lambda w: w != w0), True),
+            lambda w0: F.array_position(F.transform(widths, lambda w: w != w0), True),
         )
         return F.when(first == 0, F.lit(NO_COLUMNS)).otherwise(
             let(row, lambda r: F.when(r > 0, _filled(RAGGED_ROW, r.cast("string"))))
@@ -145,9 +140,7 @@ def defuse_formulas(df, columns=None):
     return df.withColumns({name: defused(F.col(f"`{name}`")) for name in names})
 
 
-def screen_uploads(
-    files, contents=None, max_bytes=MAX_BYTES, sample_chars=None, max_rows=None
-):
+def screen_uploads(files, contents=None, max_bytes=MAX_BYTES):
     """Verdict per file: ``accepted``, ``reason``, ``delimiter``, ``formula_found``.
 
     The first failing check names the reason. ``contents`` may be a second read
@@ -168,7 +161,7 @@ def screen_uploads(
             }
         )
     )
-    read = _read(files if contents is None else contents, max_bytes, sample_chars, max_rows)
+    read = _read(files if contents is None else contents, max_bytes)
     return rejected.unionByName(read.drop("text"))
 
 
@@ -183,7 +176,7 @@ def _cheap_reason(max_bytes):
     return F.coalesce(size_reason(F.col("length"), max_bytes), name_reason(F.col("file")))
 
 
-def _read(files, max_bytes, sample_chars, max_rows):
+def _read(files, max_bytes):
     """Verdicts of the files whose size and name are in order.
 
     The verdict is one struct made in a single pass over the text. It is
@@ -194,13 +187,13 @@ def _read(files, max_bytes, sample_chars, max_rows):
         name_reason(F.col("file")).isNull()
     )
     kept = [F.col(f"`{name}`") for name in small.columns if name != "content"]
-    verdict = _verdict(F.col("content"), sample_chars, max_rows)
+    verdict = _verdict(F.col("content"))
     return small.select(*kept, F.explode_outer(F.array(verdict)).alias("verdict")).select(
         *kept, "verdict.*"
     )
 
 
-def _verdict(content, sample_chars, max_rows):
+def _verdict(content):
     def of_content(content):
         return let(decoded(content), lambda text: of_text(content, text))
 
@@ -209,11 +202,11 @@ def _verdict(content, sample_chars, max_rows):
         return let(early, lambda reason: of_early(text, reason))
 
     def of_early(text, early):
-        found = F.when(early.isNull(), csvtext.delimiter_of(text, sample_chars))
+        found = F.when(early.isNull(), csvtext.delimiter_of(text))
         return let(found, lambda delimiter: of_shape(text, early, delimiter))
 
     def of_shape(text, early, delimiter):
-        shape = F.when(early.isNull(), shape_reason(text, delimiter, max_rows))
+        shape = F.when(early.isNull(), shape_reason(text, delimiter))
         return let(F.coalesce(early, shape), lambda reason: verdict(text, delimiter, reason))
 
     def verdict(text, delimiter, reason):
@@ -237,10 +230,10 @@ def _verdict(content, sample_chars, max_rows):
     return let(content, of_content)
 
 
-def accepted_uploads(files, max_bytes=MAX_BYTES, sample_chars=None, max_rows=None):
+def accepted_uploads(files, max_bytes=MAX_BYTES):
     """Files that pass, with ``text``, ``delimiter`` and ``formula_found``."""
     return (
-        _read(files, max_bytes, sample_chars, max_rows)
+        _read(files, max_bytes)
         .filter("accepted")
         .drop("accepted", "reason")
     )
@@ -257,7 +250,12 @@ def clean_rows(accepted):
 
 
 def upload_audit(verdicts, at, user=UPLOAD_USER):
-    """One audit row per screened file. Needs ``dataset`` beside the verdict."""
+    """One audit row per screened file. Needs ``dataset`` and ``description`` beside the verdict.
+
+    As at registration, a form whose name or description is blank is not
+    processed, so it leaves no row.
+    """
+    verdicts = verdicts.filter((F.trim("dataset") != "") & (F.trim("description") != ""))
     found = F.when(F.col("formula_found"), "True").otherwise("False")
     details = F.when(
         F.col("accepted"), _filled(ACCEPTED_DETAILS, F.col("dataset"), F.col("file"), found)

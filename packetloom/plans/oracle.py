@@ -155,7 +155,7 @@ _add(
     """sums as (select ipv4_src_addr, cast(sum(in_bytes + out_bytes) as bigint) as t from flows group by 1),
        scaled as (select ipv4_src_addr, unnest([t, t * 1024, t * 1048576, t, t // 1024, t // 1048576]) as total from sums)""",
 )
-_add("malicious_flows", ["flows"], "select * from flows where label in (select label from flows except select 'Benign')")
+_add("malicious_flows", ["flows"], "select * from flows where label <> 'Benign'")
 _add(
     "flow_kpis",
     ["flows"],
@@ -225,8 +225,8 @@ _add(
     """select event_id, timestamp, summary, length,
          coalesce(ip_src, arp_src, 'Layer 2') as src,
          case when ip_src is not null then ip_dst when arp_src is not null then arp_dst else 'Broadcast' end as dst,
-         case when ip_src is null then if(arp_src is null, 'Ether', 'ARP')
-              else ['IP', 'UDP', 'TCP'][1 + greatest(2 * has_tcp::int, has_udp::int)] end as proto
+         case when ip_src is not null and has_tcp then 'TCP' when ip_src is not null and has_udp then 'UDP'
+              when ip_src is not null then 'IP' when arp_src is not null then 'ARP' else 'Ether' end as proto
        from headers""",
 )
 _add(
@@ -456,15 +456,10 @@ _HEAD_REASON = (
     "(select concat('Rilevato file binario non autorizzato (', k, '). Iniezione bloccata!') "
     "from (values " + ", ".join(f"({h}, '{k}')" for h, k in _HEADS) + ") h(b, k) where starts_with(text, b) limit 1)"
 )
-_MARKER_REASON = (
-    "concat('Rilevato codice/script sospetto all''interno del file CSV: ''', "
-    "list_filter([" + ", ".join(f"'{m}'" for m in _MARKERS) + "], lambda m: contains(text, m))[1], "
-    "'''. Iniezione bloccata!')"
-)
-_MARKER_REASON = (
-    "if(list_has_any([true], list_transform([" + ", ".join(f"'{m}'" for m in _MARKERS)
-    + "], lambda m: contains(text, m))), " + _MARKER_REASON + ", null)"
-)
+_MARKER_REASON = "case " + " ".join(
+    f"when contains(text, '{m}') then 'Rilevato codice/script sospetto all''interno del file CSV: ''{m}''. Iniezione bloccata!'"
+    for m in _MARKERS
+) + " end"
 _TOO_LARGE = "File troppo grande. Il limite massimo è 10MB."
 _BAD_NAME = "Estensione del file non valida. È consentito solo il formato .csv."
 
@@ -549,8 +544,8 @@ _VERDICT_COLUMNS = """
 select path, accepted, reason, delimiter, if(accepted, coalesce(formula_found, false), null) as formula_found
 from verdicts left join flags using (path)
 """
-_add("upload_verdicts", ["uploads"], _VERDICT_COLUMNS, _screen("uploads", 85))
-_add("text_file_verdicts", ["text_files"], _VERDICT_COLUMNS, _screen("text_files", 6000))
+_add("upload_verdicts", ["uploads"], _VERDICT_COLUMNS, _screen("uploads", 10485760))
+_add("text_file_verdicts", ["text_files"], _VERDICT_COLUMNS, _screen("text_files", 10485760))
 _add(
     "size_and_name_checks",
     ["uploads"],
@@ -573,7 +568,7 @@ _add(
     "clean_upload_rows",
     ["uploads"],
     """select path, row_no, cell_no, if(left(cell, 1) in ('=', '+', '-', '@'), '''' || cell, cell) as cell from clean""",
-    _screen("uploads", 85),
+    _screen("uploads", 10485760),
 )
 _add(
     "upload_audit",
@@ -582,11 +577,12 @@ _add(
          if(accepted, 'UploadSuccess', 'UploadBlocked') as action,
          if(accepted, concat('Dataset: ', dataset, ' - File: ', file, ' - Formule bonificate: ', if(formula_found, 'True', 'False')),
            concat('File: ', file, ' - Motivo: ', reason)) as details
-       from verdicts left join flags using (path)""",
-    _screen("uploads", 85),
+       from verdicts left join flags using (path)
+       where trim(dataset) <> '' and trim(description) <> ''""",
+    _screen("uploads", 10485760),
 )
 _ENTRIES = (
-    _screen("uploads", 85)
+    _screen("uploads", 10485760)
     + r""",
     entries as (
       select *, md5(path) as key from verdicts

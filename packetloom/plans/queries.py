@@ -471,7 +471,7 @@ def column_profile(spark, d):
 
 
 def _uploads(spark, d):
-    return upload_files(spark, d), {"max_bytes": 85}
+    return upload_files(spark, d), {}
 
 
 @query
@@ -523,9 +523,7 @@ def upload_verdicts(spark, d):
 
 @query
 def text_file_verdicts(spark, d):
-    return uploads.screen_uploads(
-        upload_files(spark, d, "text_files"), max_bytes=6000
-    ).select("path", "accepted", "reason", "delimiter", "formula_found")
+    return uploads.screen_uploads(upload_files(spark, d, "text_files")).select("path", "accepted", "reason", "delimiter", "formula_found")
 
 
 @query

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from packetloom.functions.text import first_match
 from packetloom.operators.packets import normalize_packets
 from packetloom.schemas import CAPTURE_FILES, FRAMES
+from packetloom.session import ship
 
 # Fixed values of the capture format: file magic (read big-endian) to byte
 # order and fraction of a second.
@@ -40,6 +41,9 @@ PORT_NAMES = {
     8080: "http_alt",
 }
 
+# Fixed value: no capture tool writes a longer record.
+MAX_RECORD = 262144
+
 
 def _records(content):
     """Yield link type, time, length and bytes of each complete record."""
@@ -47,7 +51,7 @@ def _records(content):
         return
     known = MAGIC.get(struct.unpack_from(">I", content)[0])
     if known is None:
-        return
+        raise ValueError("not a capture file of a known kind")
     order, fraction = known
     link_type = struct.unpack_from(order + "I", content, 20)[0] & 0xFFFF
     header = struct.Struct(order + "IIII")
@@ -55,6 +59,8 @@ def _records(content):
     while at + RECORD_HEADER <= len(content):
         seconds, part, size, _ = header.unpack_from(content, at)
         at += RECORD_HEADER
+        if size > MAX_RECORD:
+            raise ValueError(f"damaged capture record of {size} bytes before byte {at}")
         if at + size > len(content):
             return
         time = (seconds * fraction + part) / fraction
@@ -76,7 +82,9 @@ def read_frames(files):
     """Frames of capture files (``path``, ``content``); works on streams too.
 
     An incomplete last record, as in a file still being written, is left out.
+    A file of another kind or with a damaged record raises an error.
     """
+    ship(files.sparkSession)
     return files.select("path", "content").mapInPandas(_frames, FRAMES)
 
 

@@ -6,20 +6,19 @@ from pyspark.sql import types as T
 from packetloom.operators.uploads import EXTENSION
 from packetloom.schemas import FLOWS, PACKETS
 
-# Fixed value: share of rows looked at when types are inferred.
-SAMPLING_RATIO = 0.1
-
 
 def read_flows_csv(spark, path, schema=FLOWS, class_column="label"):
     """CSV flows with a header.
 
     Types come from ``schema`` by header name, so the data is read once;
-    columns it does not name are strings. ``schema=None`` infers types from a
-    sample instead and then casts the class column to string.
+    columns it does not name are strings. ``schema=None`` infers types from all
+    rows instead and then casts the class column to string. A value that does
+    not fit its type, and a file whose header differs from the first one's,
+    raise an error instead of giving NULL or another column's values.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.options(header=True, enforceSchema=False, mode="FAILFAST")
     if schema is None:
-        flows = reader.options(inferSchema=True, samplingRatio=SAMPLING_RATIO).csv(path)
+        flows = reader.options(inferSchema=True).csv(path)
         return flows.withColumn(class_column, F.col(class_column).cast("string"))
     kinds = {field.name.lower(): field.dataType for field in schema.fields}
     header = reader.csv(path).columns
@@ -34,13 +33,16 @@ def write_flows(flows, path, mode="overwrite", partition_by=()):
     flows.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def load_flows(spark, path, view=None, schema=FLOWS):
+def load_flows(spark, path, view=None, schema=None):
     """Parquet flows; also registered as a temporary view if ``view`` is given.
 
-    ``schema=None`` takes every column of the files instead of the known ones.
+    Every column of the files is taken unless ``schema`` names some; the known
+    ones are named as in ``FLOWS`` whatever their case.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     flows = reader.parquet(path)
+    known = {name.lower(): name for name in FLOWS.names}
+    flows = flows.toDF(*[known.get(name.lower(), name) for name in flows.columns])
     if view:
         flows.createOrReplaceTempView(view)
     return flows

@@ -7,35 +7,45 @@ from packetloom.schemas import ALERTS, BLOCKED
 PATTERN = re.compile(r"<think>(.*?)(?:</think>|$)", re.DOTALL)
 
 
-def fold(chunks):
-    """Final texts by taking the chunks one after the other."""
-    answer = thought = plain = ""
-    for response, thinking in chunks:
-        if thinking:
-            thought, answer = thought + thinking, answer + (response or "")
-        else:
-            plain += response or ""
-            answer = PATTERN.sub("", plain)
-            if "<think>" in plain:
-                thought = PATTERN.search(plain).group(1)
-    return answer, thought
-
-
-def test_chunks_equal_the_fold(spark):
-    rng = random.Random(5)
-    rows, want = [], {}
-    for reply in range(300):
-        chunks = [
-            (rng.choice(["a", "b\n", "<think>", "</think>", "", None, "<th", "ink>"]), rng.choice([None, None, "", "t", "u"]))
-            for _ in range(rng.randint(1, 12))
-        ]
-        want[reply] = fold(chunks)
-        rows += [(reply, i, *c) for i, c in enumerate(chunks)]
-    rng.shuffle(rows)
-    df = spark.createDataFrame(rows, "reply int, seq int, response string, thinking string")
-    for block in (1, 4, 1000):
-        got = assistant.assemble_chunks(df, "reply", "seq", block).collect()
-        assert {r.reply: (r.answer, r.reasoning) for r in got} == want
+#: Chunks of a reply as (response, thinking), with its answer and reasoning.
+REPLIES = [
+    ([("Hello", None), (" world", None)], ("Hello world", "")),
+    ([("<think>why", None), (" so</think>", None), ("done", None)], ("done", "why so")),
+    ([("<th", None), ("ink>cut", None), ("</think>x", None)], ("x", "cut")),
+    ([("<think>never closed", None), (" at all", None)], ("", "never closed at all")),
+    ([("", "step 1, "), ("", "step 2"), ("answer", "")], None),
+    ([(None, "a"), ("kept", "b")], ("kept", "ab")),
+    ([(None, None), ("", None)], ("", "")),
+]
+
+
+def chunk_table(spark, replies):
+    rows = [(reply, i, *c) for reply, chunks in enumerate(replies) for i, c in enumerate(chunks)]
+    random.Random(5).shuffle(rows)
+    return spark.createDataFrame(rows, "reply int, seq int, response string, thinking string")
+
+
+def test_chunks_of_known_replies(spark):
+    got = {r.reply: (r.answer, r.reasoning) for r in assistant.assemble_chunks(chunk_table(spark, [c for c, _ in REPLIES]), "reply", "seq").collect()}
+    for reply, (_, want) in enumerate(REPLIES):
+        assert want is None or got[reply] == want
+
+
+def test_blocks_change_no_reply(spark):
+    rng = random.Random(7)
+    pieces = ["a", "b\n", "<think>", "</think>", "", None, "<th", "ink>"]
+    df = chunk_table(spark, [[(rng.choice(pieces), rng.choice([None, None, "", "t", "u"])) for _ in range(rng.randint(1, 12))] for _ in range(300)])
+    got = [{r.reply: (r.answer, r.reasoning) for r in assistant.assemble_chunks(df, "reply", "seq", block).collect()} for block in (1, 4, 1000)]
+    assert got[0] == got[1] == got[2]
+
+
+def test_plain_chunks_equal_their_joined_text(spark):
+    rng = random.Random(9)
+    replies = [[(rng.choice(["a", "b\n", "<think>", "</think>", "<th", "ink>"]), None) for _ in range(rng.randint(1, 12))] for _ in range(300)]
+    joined = spark.createDataFrame([(i, "".join(r for r, _ in c)) for i, c in enumerate(replies)], "reply int, text string")
+    want = {r.reply: (r.answer, r.reasoning) for r in assistant.split_reasoning(joined, "text").collect()}
+    got = {r.reply: (r.answer, r.reasoning) for r in assistant.assemble_chunks(chunk_table(spark, replies), "reply", "seq").collect()}
+    assert got == want
 
 
 def test_split_reasoning(spark):

@@ -1,5 +1,8 @@
 import struct
 
+import pytest
+
+from packetloom.sources.captures import read_frames
 from packetloom.sources import captures
 
 
@@ -74,12 +77,14 @@ def test_cooked_frames(spark, tmp_path):
     assert got[0][3].endswith("10.0.0.2:ftp S")
 
 
-def test_files_still_written_empty_or_foreign(spark, tmp_path):
+def test_files_still_written_or_empty(spark, tmp_path):
     whole = capture([CASES[0][0]] * 3)
     (tmp_path / "a.pcap").write_bytes(whole[:-5])
     (tmp_path / "b.pcap").write_bytes(b"")
-    (tmp_path / "c.pcap").write_bytes(b"not a capture file, but long enough")
     assert captures.read_captures(spark, str(tmp_path)).count() == 2
+    (tmp_path / "c.pcap").write_bytes(b"not a capture file, but long enough")
+    with pytest.raises(Exception, match="known kind"):
+        captures.read_captures(spark, str(tmp_path)).collect()
 
 
 def test_capture_stream_reads_each_file_once(spark, tmp_path):
@@ -97,3 +102,10 @@ def test_capture_stream_reads_each_file_once(spark, tmp_path):
     (tmp_path / "in" / "2.pcap").write_bytes(capture([CASES[0][0]] * 5))
     assert run() == 7
     assert run() == 7
+
+
+@pytest.mark.parametrize("content, words", [(b"\x1f\x8b" + bytes(40), "known kind"), (struct.pack(">IHHIIIIIIII", 0xA1B2C3D4, 2, 4, 0, 0, 65535, 1, 0, 0, 1 << 30, 1 << 30), "damaged")])
+def test_rejected_captures_raise(spark, content, words):
+    files = spark.createDataFrame([("a.pcap", bytearray(content))], "path string, content binary")
+    with pytest.raises(Exception, match=words):
+        read_frames(files).collect()

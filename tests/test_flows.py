@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from packetloom.functions.text import human_bytes, mask_address, strip
@@ -115,3 +116,19 @@ def test_upper_case_parquet_columns_open_in_lower_case(spark, tmp_path):
     df = files.load_flows(spark, path, view="flows_by_name")
     assert df.columns == FLOWS.names
     assert spark.table("flows_by_name").first().in_bytes == 10
+
+
+def test_csv_with_swapped_headers_raises(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("L4_SRC_PORT,L4_DST_PORT,label\n1,22,Benign\n")
+    (tmp_path / "b.csv").write_text("L4_DST_PORT,L4_SRC_PORT,label\n22,1,Benign\n")
+    for schema in (files.FLOWS, None):
+        with pytest.raises(Exception, match="(?i)header"):
+            files.read_flows_csv(spark, str(tmp_path), schema).collect()
+
+
+def test_csv_with_a_wrong_value_raises(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("L4_SRC_PORT,label\n1,Benign\nabc,Benign\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_flows_csv(spark, str(tmp_path)).collect()
+    kinds = dict(files.read_flows_csv(spark, str(tmp_path), None).dtypes)
+    assert kinds["L4_SRC_PORT"] == "string"

@@ -52,10 +52,9 @@ def test_shape_reason_equals_the_csv_module(spark):
     df = frame(spark, values).select(
         "i",
         uploads.shape_reason(F.col("text"), F.lit(",")).alias("all_rows"),
-        uploads.shape_reason(F.col("text"), F.lit(","), max_rows=2).alias("two_rows"),
     )
     for row in df.collect():
-        for limit, got in ((None, row.all_rows), (2, row.two_rows)):
+        for limit, got in ((None, row.all_rows),):
             try:
                 rows = rows_of(values[row.i], ",")
             except csv.Error:
@@ -86,15 +85,6 @@ def test_delimiters(spark):
     assert [r[0] for r in df.collect()] == list(cases.values())
 
 
-def test_delimiter_sample_is_an_option(spark):
-    text = "a;b\n" * 10 + "x\n" * 10 + "1,2\n"
-    df = frame(spark, [text]).select(
-        csvtext.delimiter_of(F.col("text"), sample_chars=42).alias("sampled"),
-        csvtext.delimiter_of(F.replace(F.col("text"), F.lit("a;b"), F.lit("a|b;"))).alias("whole"),
-    )
-    assert tuple(df.first()) == (";", ";")
-
-
 def test_large_quoted_text_needs_no_stack(spark):
     df = spark.range(1).select(
         F.repeat(F.concat(F.lit('a,"'), F.repeat(F.lit('x""'), 20000), F.lit('"\n')), 5).alias("t")
@@ -137,12 +127,6 @@ def test_folder_is_screened_cleaned_and_registered(spark, tmp_path):
         "zip.csv": (False, uploads.BINARY_FILE.format("Archivio ZIP/Office (DOCX/XLSX)"), None),
         "late.csv": (False, uploads.RAGGED_ROW.format(61), None),
     }
-    interactive = uploads.screen_uploads(
-        files, contents, max_bytes=500,
-        sample_chars=uploads.INTERACTIVE_SAMPLE_CHARS, max_rows=uploads.INTERACTIVE_ROWS,
-    )
-    assert {r.file for r in interactive.filter("accepted").collect()} == {"good.csv", "latin.CSV", "late.csv"}
-
     accepted = uploads.accepted_uploads(contents, max_bytes=500).persist()
     rows = uploads.clean_rows(accepted.filter("file = 'good.csv'")).orderBy("row_no").collect()
     assert [r.cells for r in rows] == [["name", "value"], ["'=cmd", "'-1"], ["x;y", "2"]]
