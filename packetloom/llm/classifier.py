@@ -41,16 +41,17 @@ _STUTTER = 12345
 def _grams(texts):
     """Bucket of every word and word pair, and the number of its text.
 
-    A word three times in a row is one gram of its own, whatever the word.
+    A word five times in a row is one gram of its own, whatever the word.
     """
     h, bounds = word_hashes(texts)
     mask = np.uint64(BUCKETS - 1)
     doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     inside = doc[:-1] == doc[1:]
     buckets = np.concatenate([h & mask, (rolled(h, 2) & mask)[inside]]) if len(h) else h
-    thrice = (h[:-2] == h[1:-1]) & (h[1:-1] == h[2:]) & (doc[:-2] == doc[2:])
-    stutter = np.full(thrice.sum(), _STUTTER, np.int64)
-    return np.concatenate([buckets.astype(np.int64), stutter]), np.concatenate([doc, doc[:-1][inside], doc[:-2][thrice]])
+    same = (h[:-1] == h[1:]) & inside
+    row = same[:-3] & same[1:-2] & same[2:-1] & same[3:] if len(same) > 3 else same[:0]
+    stutter = np.full(row.sum(), _STUTTER, np.int64)
+    return np.concatenate([buckets.astype(np.int64), stutter]), np.concatenate([doc, doc[:-1][inside], doc[: len(row)][row]])
 
 
 def gram_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
