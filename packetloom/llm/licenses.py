@@ -72,7 +72,9 @@ def diagonals(texts: DataFrame) -> DataFrame:
     pair = F.transform(at, lambda i: F.struct(
         i.alias("i"), F.xxhash64(F.get("w", i), F.get("w", i + 1)).alias("h"), F.get("w", i).alias("wa"), F.get("w", i + 1).alias("wb")))
     d = d.select("key", F.explode(pair).alias("p")).select("key", "p.*")
-    d = d.join(_templates(texts.sparkSession), "h").filter("a = wa and b = wb")
+    # the pairs of the fixed templates above, some hundred rows whatever the input
+    # holds: without the hint every pair of every text would be shuffled
+    d = d.join(F.broadcast(_templates(texts.sparkSession)), "h").filter("a = wa and b = wb")
     return d.groupBy("key", "template", "label", "phrase", "wanted", (F.col("i") - F.col("place")).alias("diagonal")).agg(
         F.collect_set("place").alias("places"))
 
