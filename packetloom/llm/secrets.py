@@ -114,6 +114,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope:
     order = F.array_position(F.array(*map(F.lit, NAMES)), F.col("kind"))
     spans = linked(found, scope).groupBy("key").agg(F.sort_array(F.collect_list(
         F.struct(F.col("start").alias("start"), order.alias("rank"), F.col("kind").alias("kind"), F.col("end").alias("end")))).alias("spans"))
+    # written, so that the join has a shuffle of its own, which adaptive
+    # execution can split where one text stands on very many rows
+    spans = settled(spans, "secret-spans")
     out = d.select("doc_id", "key").join(spans, "key", "left").drop("key")
     return out.withColumn("spans", F.coalesce("spans", F.array().cast(out.schema["spans"].dataType)))
 
@@ -135,6 +138,7 @@ def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark:
     last = F.lag("end", 1, 0).over(Window.partitionBy("key").orderBy("start"))
     d = d.withColumn("from", last)
     cuts = d.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("from", "start"))).alias("cuts"), F.max("end").alias("rest"))
+    cuts = settled(cuts, "secret-cuts")
     rows = docs.select(F.struct("*").alias("doc"), F.md5(text).alias("key")).join(cuts, "key", "left")
     own = F.col(f"doc.`{text_col}`")
     kept = F.transform("cuts", lambda c: own.substr(c["from"].cast("int") + 1, (c["start"] - c["from"]).cast("int")))
