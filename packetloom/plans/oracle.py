@@ -207,6 +207,7 @@ _add(
                  when event_id % 7 = 0 then 'IP' when event_type = 'view' then 'UDP' else 'TCP' end as kind
              from events) e""",
 )
+ORACLES["followed_captures"] = ORACLES["decoded_captures"]
 _add("packet_stream", ["packets"], "select * exclude (event_id) from packets")
 _add(
     "retained_packets",

@@ -18,9 +18,11 @@ from packetloom.operators import (
 )
 from packetloom.operators.profile import profile
 from packetloom.plans.adapters import capture_files, catalog_table, frame, upload_files
+from packetloom.schemas import TAKEN
 from packetloom.session import run_folder
 from packetloom.sources import captures, files, retention
 from packetloom.streaming import alerts as alert_stream
+from packetloom.streaming import captures as capture_stream
 from packetloom.streaming import traffic
 
 REGISTRY = {}
@@ -220,7 +222,29 @@ def mounted_views(spark, d):
 
 @query
 def decoded_captures(spark, d):
-    return captures.decode_captures(capture_files(spark, d)).drop("path", "frame_no")
+    return captures.decode_captures(capture_files(spark, d)).drop("path", "capture", "frame_no")
+
+
+@query
+def followed_captures(spark, d):
+    """Captures read half written and again when whole; every packet is taken once."""
+    out, whole = run_folder(spark, "followed"), capture_files(spark, d)
+    taken = spark.createDataFrame([], TAKEN)
+    for run, share in enumerate((0.5, 1.0)):
+        size = F.ceil(F.octet_length("content") * share).cast("int")
+        files = whole.withColumn("content", F.substring("content", F.lit(1), size))
+        target = f"{out}/packets/run={run}"
+        capture_stream.new_packets(files, taken).write.parquet(target)
+        listed = files.select(
+            "path",
+            F.lit(AS_OF).cast("timestamp").alias("modificationTime"),
+            F.octet_length("content").cast("long").alias("length"),
+        )
+        capture_stream.next_taken(listed, spark.read.parquet(target), taken).write.parquet(
+            f"{out}/taken/run={run}"
+        )
+        taken = spark.read.schema(TAKEN).parquet(f"{out}/taken/run={run}")
+    return spark.read.parquet(f"{out}/packets").drop("path", "capture", "frame_no", "run")
 
 
 @query

@@ -80,9 +80,20 @@ CAPTURE_FILES = _struct(
 
 FRAMES = _struct(
     ("path", _STR),
+    ("capture", _STR),
     ("frame_no", _LONG),
     ("link_type", _INT),
     ("timestamp", _DBL),
     ("length", _LONG),
     ("frame", T.BinaryType()),
 )
+
+TAKEN = _struct(
+    ("path", _STR),
+    ("capture", _STR),
+    ("frames", _LONG),
+    ("modificationTime", _TS),
+    ("length", _LONG),
+)
+
+TAKEN_BY_VERSION = T.StructType([*TAKEN.fields, T.StructField("version", _LONG, True)])

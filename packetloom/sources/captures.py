@@ -5,6 +5,7 @@ the length of the one before. It runs on Arrow batches, one capture file at a
 time. All headers are then read by Spark expressions on the frame bytes.
 """
 
+import hashlib
 import struct
 
 import pandas as pd
@@ -74,6 +75,9 @@ def _frames(batches):
         for path, content in zip(batch["path"], batch["content"]):
             frames = pd.DataFrame(_records(content), columns=columns)
             frames.insert(0, "frame_no", range(len(frames)))
+            # the file header and the first record stay while a capture grows
+            first = FILE_HEADER + RECORD_HEADER + frames["length"].iloc[0] if len(frames) else 0
+            frames.insert(0, "capture", hashlib.md5(content[:first]).hexdigest())
             frames.insert(0, "path", path)
             yield frames
 
@@ -178,7 +182,7 @@ def read_headers(frames):
         }
     )
     return df.withColumn("summary", _summary(frame)).select(
-        "path", "frame_no", "timestamp", "length", "summary",
+        "path", "capture", "frame_no", "timestamp", "length", "summary",
         "ip_src", "ip_dst", "arp_src", "arp_dst", "has_tcp", "has_udp",
     )
 
@@ -232,6 +236,9 @@ def read_captures(spark, folder):
 
 
 def stream_captures(spark, folder):
-    """Packet rows of capture files as they appear in ``folder``."""
+    """Packet rows of capture files as they appear in ``folder``, each read once.
+
+    Captures that grow or are rotated in place: ``streaming.captures``.
+    """
     files = spark.readStream.format("binaryFile").schema(CAPTURE_FILES).load(folder)
     return decode_captures(files)

@@ -55,7 +55,8 @@ def packet_stream(spark, folder, format="parquet", max_files=None):
     """Packets as files appear in ``folder``; each file is read once.
 
     The checkpoint of the query that uses the stream remembers what was read,
-    also across restarts. A rotated capture is simply a new file.
+    also across restarts. Captures that
+    grow or are rotated in place are followed by ``streaming.captures``.
     """
     reader = spark.readStream.format(format).schema(PACKETS)
     if max_files:

@@ -4,6 +4,7 @@ import pytest
 
 from packetloom.sources.captures import read_frames
 from packetloom.sources import captures
+from packetloom.streaming.captures import take_captures
 
 
 def ip(proto, payload, src=(10, 0, 0, 1), dst=(10, 0, 0, 2), fragment=0, options=0):
@@ -109,3 +110,14 @@ def test_rejected_captures_raise(spark, content, words):
     files = spark.createDataFrame([("a.pcap", bytearray(content))], "path string, content binary")
     with pytest.raises(Exception, match=words):
         read_frames(files).collect()
+
+
+def test_growing_and_rotated_captures(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    whole, other = capture([CASES[0][0]] * 4), capture([CASES[1][0]] * 6)
+    for content, want in ((b"", 0), (whole[:-5], 3), (whole, 4), (whole, 4), (other, 10), (other, 10)):
+        (folder / "live.pcap").write_bytes(content)
+        assert take_captures(spark, str(folder), out).count() == want
+    summaries = sorted(r.summary for r in take_captures(spark, str(folder), out).collect())
+    assert summaries == sorted([CASES[0][4]] * 4 + [CASES[1][4]] * 6)
