@@ -2,7 +2,9 @@
 
 Two generative models over hashed words and word pairs (each once a text), one of the labelled
 good documents (target), one of all documents (raw), give each document the log
-of the ratio of its probabilities. Gumbel noise from its id is added, and the k
+of the ratio of its probabilities. Each model has two tables under independent
+hashes, and a gram weighs what the weaker of its two buckets says: a frequent
+clean gram that shares one bucket with a foul one weighs nothing. Gumbel noise from its id is added, and the k
 documents with the largest sums are the sample: k draws without replacement,
 with probability in proportion to the ratio.
 
@@ -25,54 +27,63 @@ from pyspark.sql import functions as F
 
 from packetloom.llm.common import load, pieces, prepare, rolled, settled, word_hashes
 
-BUCKETS = 1 << 20
+#: Buckets of each of the two tables.
+BITS = 20
+BUCKETS = 1 << BITS
 #: Labelled rows that the target model is fitted on, at most: those of least hash.
 TARGET_ROWS = 20_000
 #: Buckets count if so many good documents are expected to hold them, and the target
 #: differs by so many standard deviations and by this log.
 EXPECTED, SIGMAS, LEAST = 40.0, 5.0, 1.5
 #: Log ratio down to which a document counts as one the target could have.
-MARGIN = 8.0
+MARGIN = 3.0
 SEED = 23
-_SLICE = 1024
-_STUTTER = 12345
+_SLICE = 2048
+_STUTTER = 0x9E3779B97F
 
 
 def _grams(texts):
-    """Bucket of every word and word pair, and the number of its text.
+    """Number of every word and word pair, and the place of its text.
 
-    A word five times in a row is one gram of its own, whatever the word.
+    The lower and the upper ``BITS`` bits of a number are its buckets. A word
+    five times in a row is one gram of its own, whatever the word.
     """
     h, bounds = word_hashes(texts)
-    mask = np.uint64(BUCKETS - 1)
+    mask = np.uint64((1 << 2 * BITS) - 1)
     doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     inside = doc[:-1] == doc[1:]
-    buckets = np.concatenate([h & mask, (rolled(h, 2) & mask)[inside]]) if len(h) else h
+    grams = np.concatenate([h & mask, (rolled(h, 2) & mask)[inside]]) if len(h) else h
     same = (h[:-1] == h[1:]) & inside
     row = same[:-3] & same[1:-2] & same[2:-1] & same[3:] if len(same) > 3 else same[:0]
     stutter = np.full(row.sum(), _STUTTER, np.int64)
-    return np.concatenate([buckets.astype(np.int64), stutter]), np.concatenate([doc, doc[:-1][inside], doc[: len(row)][row]])
+    return np.concatenate([grams.astype(np.int64), stutter]), np.concatenate([doc, doc[:-1][inside], doc[: len(row)][row]])
+
+
+def _sums(grams) -> np.ndarray:
+    """Grams in each bucket of both tables, one table behind the other."""
+    return np.concatenate([np.bincount(b, minlength=BUCKETS) for b in (grams & (BUCKETS - 1), grams >> BITS)]).astype(np.int32)
 
 
 def gram_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Documents that hold each bucket: of all, and of those marked ``good``.
+    """Documents that hold each bucket, by table: of all, and of those marked ``good``.
 
     A gram counts once a document, else a few very long texts would pass for a
-    habit of many. A task sends its counts once, in slices; ``BUCKETS`` sums
+    habit of many. A task sends its counts once, in slices; ``2 * BUCKETS`` sums
     come to the driver at any input size.
     """
 
     def count(batches):
-        raw, good = np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.int32)
+        raw, good = np.zeros(2 * BUCKETS, np.int32), np.zeros(2 * BUCKETS, np.int32)
         for batch in batches:
             for part in pieces(batch, "text"):
-                buckets, doc = _grams(part.text)
-                once = np.unique(buckets * len(part) + doc)
-                raw += np.bincount(once // len(part), minlength=BUCKETS).astype(np.int32)
-                once = once[part.good.to_numpy(bool)[once % len(part)]]
-                good += np.bincount(once // len(part), minlength=BUCKETS).astype(np.int32)
+                grams, doc = _grams(part.text)
+                once = np.unique(grams * len(part) + doc)
+                raw += _sums(once // len(part))
+                marked = part.good.to_numpy(bool)
+                if marked.any():
+                    good += _sums(once[marked[once % len(part)]] // len(part))
         if raw.any():
-            for s in range(0, BUCKETS, _SLICE):
+            for s in range(0, 2 * BUCKETS, _SLICE):
                 yield pd.DataFrame({"slice": [s], "raw": [raw[s : s + _SLICE]], "good": [good[s : s + _SLICE]]})
 
     def add(part):
@@ -83,14 +94,14 @@ def gram_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     # a thousand groups of one row a task: bounded, and equally many for each
     sent = docs.select("text", "good").mapInPandas(count, "slice int, raw array<int>, good array<int>")
     sums = sent.groupBy("slice").applyInPandas(add, "slice int, raw array<bigint>, good array<bigint>").toPandas()
-    raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    raw, good = np.zeros(2 * BUCKETS, np.int64), np.zeros(2 * BUCKETS, np.int64)
     for s, r, g in sums.itertuples(index=False):
         raw[s : s + _SLICE], good[s : s + _SLICE] = r, g
-    return raw, good
+    return raw.reshape(2, -1), good.reshape(2, -1)
 
 
 def weights(raw: np.ndarray, good: np.ndarray) -> np.ndarray:
-    """Log ratio of target and raw probability per bucket; zero where chance could explain it."""
+    """Log ratio of target and raw probability per bucket of a table; zero where chance could explain it."""
     if not good.sum():
         return np.zeros(len(raw), np.float32)
     expected = raw * (good.sum() / raw.sum())
@@ -106,7 +117,7 @@ def weights(raw: np.ndarray, good: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TARGET_ROWS) -> np.ndarray:
-    """Bucket weights: all documents against good labelled ones.
+    """Bucket weights of both tables: all documents against good labelled ones.
 
     At most ``rows`` labelled ids are taken, by least hash, and broadcast: eight
     bytes each. Everything is counted over all documents.
@@ -114,7 +125,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TARGET_ROWS) -> np.ndarr
     good = labels.filter("quality = 1 and toxic = 0 and doc_id is not null").select("doc_id").distinct()
     good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select(F.col("doc_id").alias("good_id"))
     d = docs.join(F.broadcast(good), docs["doc_id"] == F.col("good_id"), "left")
-    return weights(*gram_counts(d.select("text", F.col("good_id").isNotNull().alias("good"))))
+    raw, good = gram_counts(d.select("text", F.col("good_id").isNotNull().alias("good")))
+    return np.stack([weights(r, g) for r, g in zip(raw, good, strict=True)])
 
 
 def scored(docs: DataFrame, model: np.ndarray, seed: int = SEED) -> DataFrame:
@@ -126,8 +138,8 @@ def scored(docs: DataFrame, model: np.ndarray, seed: int = SEED) -> DataFrame:
     def log_weight(text: pd.Series) -> pd.Series:
         table, out, frame = shared.value, [], pd.DataFrame({"text": text})
         for part in pieces(frame, "text"):
-            buckets, doc = _grams(part.text)
-            out.append(np.bincount(doc, table[buckets], len(part)))
+            grams, doc = _grams(part.text)
+            out.append(np.bincount(doc, np.maximum(table[0][grams & (BUCKETS - 1)], table[1][grams >> BITS]), len(part)))
         return pd.Series(np.concatenate(out) if out else np.empty(0))
 
     u = (F.pmod(F.xxhash64(F.lit(seed), "doc.doc_id"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
