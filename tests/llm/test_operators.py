@@ -125,6 +125,36 @@ def test_jaccard_large_group_stays_one_class(spark):
     assert set(got.class_id) == {0} and (got.n_links > 0).all()
 
 
+def edited(base, rng, n, mark):
+    """``base`` with ``n`` words put in place of others, far enough apart to spoil five shingles each."""
+    out = list(base)
+    for i in rng.choice(len(base) // 5 - 1, n, replace=False):
+        out[5 * i + 4] = f"{mark}_{i}"
+    return out
+
+
+def test_jaccard_star_group_is_one_class(spark):
+    base, rng = [f"t{i}" for i in range(300)], np.random.default_rng(4)
+    texts = [" ".join(edited(base, rng, 6, k)) for k in range(300)] + [" ".join(base)]
+    pairs = near_pairs(list(enumerate(texts)))
+    assert pairs == {(k, 300) for k in range(300)}
+    got = rows(jaccard.join(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))).set_index("doc_id")
+    assert set(got.class_id) == {0} and dict(got.n_links) == dict(Counter(i for p in pairs for i in p))
+
+
+def test_jaccard_rest_is_compared_in_full(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 32)
+    base, rng = [f"t{i}" for i in range(300)], np.random.default_rng(5)
+    firsts = [edited(base, rng, 6, k) for k in range(60)]
+    texts = [" ".join(x) for x in firsts] + [" ".join(edited(x, rng, 2, f"again{k}")) for k, x in enumerate(firsts)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    sets = jaccard.signatures(docs, "doc_id", "text").withColumn("first_id", F.col("doc_id")).localCheckpoint()
+    rest, none = sets.select(F.lit(1).cast("long").alias("path"), "node", "tokens"), spark.createDataFrame([], "node binary, root binary")
+    name = {bytes(r.node): r.doc_id for r in sets.collect()}
+    got = {tuple(sorted((name[bytes(r.a)], name[bytes(r.b)]))) for r in jaccard.rest_links(rest, none, docs, sets, "doc_id", "text").collect()}
+    assert got == near_pairs(list(enumerate(texts))) == {(k, k + 60) for k in range(60)}
+
+
 def test_jaccard_awkward(awkward):
     got = rows(jaccard.join(awkward))
     assert len(got) == 16 and got.doc_id.isna().sum() == got.class_id.isna().sum() == 2
