@@ -155,6 +155,12 @@ def test_jaccard_rest_is_compared_in_full(spark, monkeypatch):
     assert got == near_pairs(list(enumerate(texts))) == {(k, k + 60) for k in range(60)}
 
 
+def test_jaccard_short_texts_keep_their_order(spark):
+    texts = ["a b c", "c b a", "a  b c", "a b", "b a", "a"]
+    got = rows(jaccard.join(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))).sort_values("doc_id")
+    assert list(got.class_id) == [0, 1, 0, 3, 4, 5]
+
+
 def test_jaccard_awkward(awkward):
     got = rows(jaccard.join(awkward))
     assert len(got) == 16 and got.doc_id.isna().sum() == got.class_id.isna().sum() == 2
