@@ -91,21 +91,36 @@ def records(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slo
     )
 
 
+def newest_map(spark, folder: str) -> list[tuple[int, int, int]]:
+    """The map of the highest version in ``folder``; empty if it holds none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path) or not any(f.getPath().getName().startswith("version=") for f in files.listStatus(path)):
+        return []
+    kept = spark.read.schema(MAP_SCHEMA).parquet(folder)
+    version = kept.agg(F.max("version")).first()[0]
+    return [] if version is None else sorted((r.version, r.slot, r.shard) for r in kept.filter(F.col("version") == version).collect())
+
+
 def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
            slots: int = SLOTS, map_folder: str | None = None) -> DataFrame:
     """Shard of every record, its place there (from 0, without gaps) and the slot map's version.
 
     The slot map has ``slots`` rows, whatever the input holds; only it and the
-    bytes per slot pass through the driver. ``map_folder`` keeps the versions.
+    bytes per slot pass through the driver. ``map_folder`` keeps the versions: if
+    it holds any, the newest is rebalanced and the next one written.
     """
     spark = docs.sparkSession
     found = settled(records(docs, id_col, text_col, slots), "shard-records")
     per_slot = found.groupBy("virtual_slot").agg(F.sum(F.col("size") * F.col("copies")).alias("bytes"), F.sum("copies").alias("rows"))
     loads = {r.virtual_slot: r for r in per_slot.collect()}
     map_folder = map_folder or run_folder(spark, "slot-map")
-    old = first_map(slots, shards)
+    kept = newest_map(spark, map_folder)
+    if kept and [r[1] for r in kept] != list(range(slots)):
+        raise ValueError(f"the slot map in {map_folder} is not one of {slots} slots")
+    old = kept or first_map(slots, shards)
     new = rebalance(old, {k: r.bytes for k, r in loads.items()}, shards)
-    spark.createDataFrame(old + new, MAP_SCHEMA).coalesce(1).write.mode("append").partitionBy("version").parquet(map_folder)
+    spark.createDataFrame(new if kept else old + new, MAP_SCHEMA).coalesce(1).write.mode("append").partitionBy("version").parquet(map_folder)
     first, seen = [], [0] * shards
     for version, slot, shard in new:
         first.append((version, slot, shard, seen[shard]))

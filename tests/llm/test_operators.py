@@ -224,6 +224,19 @@ def test_rebalancing_moves_few_slots():
     assert {r[0] for r in new} == {2} and moved < 100
 
 
+def test_second_call_edits_the_stored_map(spark, small, tmp_path):
+    folder = str(tmp_path / "map")
+    first = rows(sharding.assign(small.filter("doc_id % 2 = 0"), map_folder=folder))
+    second = rows(sharding.assign(small, map_folder=folder))
+    kept = rows(spark.read.parquet(folder))
+    assert set(first.map_version) == {1} and set(second.map_version) == {2}
+    assert dict(kept.version.value_counts()) == dict.fromkeys(range(3), sharding.SLOTS) and not kept.duplicated(["version", "slot"]).any()
+    bytes_of = {int(k): int(v) for k, v in second.groupby("virtual_slot")["size"].sum().items()}
+    before = [(1, int(s), int(k)) for s, k in kept[kept.version == 1][["slot", "shard"]].to_numpy()]
+    after = sorted((2, int(s), int(k)) for s, k in kept[kept.version == 2][["slot", "shard"]].to_numpy())
+    assert after == sharding.rebalance(before, bytes_of)
+
+
 def test_repeated_records_spread_over_slots(spark):
     docs = spark.range(20_000).select(F.lit(1).cast("bigint").alias("doc_id"), F.lit("x").alias("text"))
     got = rows(sharding.assign(docs, shards=2))
