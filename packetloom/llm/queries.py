@@ -1,7 +1,11 @@
 """Queries of this folder's operators."""
 
+from packetloom.llm import conversation_trie, filter_audit
 from packetloom.llm.classifier import op3_quality_classifier
+from packetloom.llm.conversation_trie import op12_conversation_trie
+from packetloom.llm.filter_audit import op13_filter_audit
 from packetloom.llm.jaccard import op8_jaccard
+from packetloom.llm.language_id import op11_language_id
 from packetloom.llm.licenses import op7_licenses
 from packetloom.llm.mixing import op9_mixing
 from packetloom.llm.neighbours import op4_nearest_neighbours
@@ -22,5 +26,11 @@ REGISTRY = {
     "op8_jaccard": op8_jaccard,
     "op9_mixing": op9_mixing,
     "op10_substrings": op10_substrings,
+    "op11_language_id": op11_language_id,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_filter_audit": op13_filter_audit,
+}
+ORACLES: dict[str, str] = {
+    "op12_conversation_trie": conversation_trie.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }
-ORACLES: dict[str, str] = {}
