@@ -280,7 +280,8 @@ def catalog_table(spark, folder):
 def capture_files(spark, folder, per_file=1000):
     """Capture files built from the events, ``per_file`` packets in each.
 
-    Frames are Ethernet with ARP, TCP, UDP, another IP protocol or none.
+    Frames are Ethernet with ARP, TCP, UDP, another IP protocol or none; every
+    second file is pcapng.
     """
     events = table(spark, folder, "events")
 
@@ -316,18 +317,26 @@ def capture_files(spark, folder, per_file=1000):
     record = F.concat(
         word(F.floor(micros / 1000000), 8), word(F.pmod(micros, F.lit(1000000)), 8), size, size, frame_hex
     )
+    padded = F.rpad(frame_hex, F.ceil(F.length(frame_hex) / 8).cast("int") * 8, F.lit("0"))
+    whole = word(F.length(padded) / 2 + 32, 8)
+    block = F.concat(
+        F.lit("00000006"), whole, F.lit("00000000"), word(F.shiftright(micros, 32), 8),
+        word(micros.bitwiseAND(0xFFFFFFFF), 8), size, size, padded, whole,
+    )
     header = "A1B2C3D4" + "00020004" + "0" * 16 + "0000FFFF" + "00000001"
+    section = "0A0D0D0A" + "0000001C" + "1A2B3C4D" + "00010000" + "F" * 16 + "0000001C"
+    interface = "00000001" + "00000014" + "00010000" + "0000FFFF" + "00000014"
+    file_no = F.floor(event / per_file)
     return (
         events.select(
-            F.floor(event / per_file).alias("file_no"),
-            F.struct("event_id", record.alias("record")).alias("item"),
+            file_no.alias("file_no"),
+            F.struct("event_id", F.when(file_no % 2 == 0, record).otherwise(block).alias("record")).alias("item"),
         )
         .groupBy("file_no")
         .agg(F.array_sort(F.collect_list("item")).alias("items"))
+        .withColumn("head", F.when(F.col("file_no") % 2 == 0, header).otherwise(section + interface))
         .select(
-            F.concat(F.lit("capture-"), "file_no", F.lit(".pcap")).alias("path"),
-            F.unhex(F.concat(F.lit(header), F.array_join(F.col("items.record"), ""))).alias(
-                "content"
-            ),
+            F.concat(F.lit("capture-"), "file_no", F.lit(".cap")).alias("name"),
+            F.unhex(F.concat("head", F.array_join(F.col("items.record"), ""))).alias("content"),
         )
     )

@@ -193,10 +193,7 @@ _add(
          (select count(*) from shared_packets where src = ipv4_src_addr) as packet_count
        from flows where ipv4_src_addr in (select src from shared_packets) group by 1""",
 )
-_add(
-    "decoded_captures",
-    [],
-    """select epoch_us(ts) / 1000000.0::double as timestamp, case kind when 'Ether' then 18 when 'ARP' then 42 else 54 end::bigint as length,
+_DECODED = """select event_id, epoch_us(ts) / 1000000.0::double as timestamp, case kind when 'Ether' then 18 when 'ARP' then 42 else 54 end::bigint as length,
          case kind when 'Ether' then 'Ether' when 'ARP' then concat('Ether / ARP who has ', d, ' says ', s)
            when 'IP' then concat('Ether / ', s, ' > ', d)
            else concat('Ether / IP / ', kind, ' ', s, ':', 40000 + event_id % 9000, ' > ', d, ':',
@@ -205,8 +202,8 @@ _add(
        from (select *, concat('192.168.', user_id % 4, '.', user_id % 250) as s, concat('10.0.0.', event_id % 9) as d,
                case when user_id % 11 = 0 then 'Ether' when event_type = 'signup' then 'ARP'
                  when event_id % 7 = 0 then 'IP' when event_type = 'view' then 'UDP' else 'TCP' end as kind
-             from events) e""",
-)
+             from events) e"""
+_add("decoded_captures", [], f"select * exclude (event_id) from ({_DECODED})")
 ORACLES["followed_captures"] = ORACLES["decoded_captures"]
 _add("packet_stream", ["packets"], "select * exclude (event_id) from packets")
 _add(
@@ -251,6 +248,7 @@ _add(
        from deny where ip in (select src from packets) and ip not in (select ip from held)""",
 )
 _add("graded_alerts", _ALERT_FRAMES, "select * from alerts", _ALERTS)
+_add("capture_alert_run", _ALERT_FRAMES[1:], "select * from alerts", f"packets as ({_DECODED}), {_ALERTS}")
 _add("alert_stream_run", _ALERT_FRAMES, "select * from alerts", _ALERTS)
 _add("traffic_stream_run", ["flows"], _MINUTES)
 _add(

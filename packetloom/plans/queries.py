@@ -18,9 +18,8 @@ from packetloom.operators import (
 )
 from packetloom.operators.profile import profile
 from packetloom.plans.adapters import capture_files, catalog_table, frame, upload_files
-from packetloom.schemas import TAKEN
 from packetloom.session import run_folder
-from packetloom.sources import captures, files, retention
+from packetloom.sources import binary, captures, files, retention
 from packetloom.streaming import alerts as alert_stream
 from packetloom.streaming import captures as capture_stream
 from packetloom.streaming import traffic
@@ -220,31 +219,44 @@ def mounted_views(spark, d):
     )
 
 
+def _land_captures(spark, d, folder, share=1.0):
+    """Capture files of the events, classic and pcapng, of which so much is written already."""
+    whole = capture_files(spark, d)
+    size = F.ceil(F.octet_length("content") * share).cast("int")
+    binary.write_files(whole.withColumn("content", F.substring("content", F.lit(1), size)), folder).write.format(
+        "noop"
+    ).mode("overwrite").save()
+
+
 @query
 def decoded_captures(spark, d):
-    return captures.decode_captures(capture_files(spark, d)).drop("path", "capture", "frame_no")
+    """Files in a folder, read by blocks of bytes."""
+    folder = run_folder(spark, "captures")
+    _land_captures(spark, d, folder)
+    return captures.read_captures(spark, folder).drop("path", "capture", "frame_no")
 
 
 @query
 def followed_captures(spark, d):
-    """Captures read half written and again when whole; every packet is taken once."""
-    out, whole = run_folder(spark, "followed"), capture_files(spark, d)
-    taken = spark.createDataFrame([], TAKEN)
-    for run, share in enumerate((0.5, 1.0)):
-        size = F.ceil(F.octet_length("content") * share).cast("int")
-        files = whole.withColumn("content", F.substring("content", F.lit(1), size))
-        target = f"{out}/packets/run={run}"
-        capture_stream.new_packets(files, taken).write.parquet(target)
-        listed = files.select(
-            "path",
-            F.lit(AS_OF).cast("timestamp").alias("modificationTime"),
-            F.octet_length("content").cast("long").alias("length"),
-        )
-        capture_stream.next_taken(listed, spark.read.parquet(target), taken).write.parquet(
-            f"{out}/taken/run={run}"
-        )
-        taken = spark.read.schema(TAKEN).parquet(f"{out}/taken/run={run}")
-    return spark.read.parquet(f"{out}/packets").drop("path", "capture", "frame_no", "run")
+    """Captures taken half written and again when whole; every packet is taken once."""
+    folder, out = run_folder(spark, "captures"), run_folder(spark, "followed")
+    for share in (0.5, 1.0):
+        _land_captures(spark, d, folder, share)
+        packets_taken = capture_stream.take_captures(spark, folder, out)
+    return packets_taken.drop("path", "capture", "frame_no")
+
+
+@query
+def capture_alert_run(spark, d):
+    """From growing capture files to graded alerts, lists read in each batch."""
+    base = run_folder(spark, "capture-alerts")
+    tables = _alert_tables(spark, d, base)
+    for share in (0.5, 1.0):
+        _land_captures(spark, d, f"{base}/captures", share)
+        capture_stream.run_capture_alerts(
+            spark, f"{base}/captures", tables, trigger={"availableNow": True}
+        ).awaitTermination()
+    return alert_stream.stream_alerts(spark, tables)
 
 
 @query
@@ -310,10 +322,7 @@ def graded_alerts(spark, d):
     return _alerts(spark, d)
 
 
-@query
-def alert_stream_run(spark, d):
-    """The alert stream over three landed files, lists read in each batch."""
-    base = run_folder(spark, "alert-stream")
+def _alert_tables(spark, d, base):
     tables = alert_stream.AlertTables(
         f"{base}/allow", f"{base}/deny", f"{base}/blocked", f"{base}/out"
     )
@@ -325,6 +334,14 @@ def alert_stream_run(spark, d):
         F.lit("").alias("reason"),
         F.lit("BLOCKED").alias("status"),
     ).write.parquet(tables.blocked)
+    return tables
+
+
+@query
+def alert_stream_run(spark, d):
+    """The alert stream over three landed files, lists read in each batch."""
+    base = run_folder(spark, "alert-stream")
+    tables = _alert_tables(spark, d, base)
     frame(spark, d, "packets").drop("event_id").repartition(3).write.parquet(f"{base}/landing")
     stream = alert_stream.packet_stream(spark, f"{base}/landing", max_files=1)
     alert_stream.run_alert_stream(

@@ -88,12 +88,21 @@ FRAMES = _struct(
     ("frame", T.BinaryType()),
 )
 
-TAKEN = _struct(
+# One row per block of bytes of a capture file, see ``sources.captures``.
+CAPTURE_BLOCKS = _struct(
     ("path", _STR),
-    ("capture", _STR),
-    ("frames", _LONG),
-    ("modificationTime", _TS),
     ("length", _LONG),
+    ("block", _LONG),
+    ("lo", _LONG),
+    ("hi", _LONG),
+    ("start", _LONG),
+    ("end", _LONG),
+    ("order_in", _STR),
+    ("order_out", _STR),
+    ("frames", _LONG),
+    ("heads", T.BinaryType()),
+    ("capture", _STR),
+    ("problem", _STR),
+    ("first_frame", _LONG),
+    ("known_heads", T.BinaryType()),
 )
-
-TAKEN_BY_VERSION = T.StructType([*TAKEN.fields, T.StructField("version", _LONG, True)])

@@ -1,30 +1,24 @@
-"""Packet capture files.
-
-Only the walk from record to record needs Python: a record's start depends on
-the length of the one before. It runs on Arrow batches, one capture file at a
-time. All headers are then read by Spark expressions on the frame bytes.
+"""Packet capture files, classic and pcapng.
+
+Only the walk from record to record needs Python (``sources.walk``). Files are cut
+into blocks of bytes, many tasks a file: each block guesses where its first
+record starts and walks to the first record of the next block. A block whose
+guess is not where the block before it ended is walked again from there; so the
+result is that of one walk through the whole file, whatever the payloads hold. What is kept of a block is one row: places, number of frames,
+and the section and interface blocks that later blocks need. A second pass
+reads frames, numbered from the counts. All headers are then read by Spark
+expressions on the frame bytes.
 """
 
-import hashlib
-import struct
-
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from packetloom.functions.text import first_match
 from packetloom.operators.packets import normalize_packets
-from packetloom.schemas import CAPTURE_FILES, FRAMES
-from packetloom.session import ship
-
-# Fixed values of the capture format: file magic (read big-endian) to byte
-# order and fraction of a second.
-MAGIC = {
-    0xA1B2C3D4: (">", 10**6),
-    0xD4C3B2A1: ("<", 10**6),
-    0xA1B23C4D: (">", 10**9),
-    0x4D3CB2A1: ("<", 10**9),
-}
-FILE_HEADER, RECORD_HEADER = 24, 16
+from packetloom.schemas import CAPTURE_BLOCKS, CAPTURE_FILES, FRAMES
+from packetloom.session import run_folder, ship
+from packetloom.sources import walk
+
 ETHERNET, COOKED, COOKED_V2 = 1, 113, 276
 TYPE_IPV4, TYPE_ARP, TYPES_VLAN = 0x0800, 0x0806, (0x8100, 0x88A8)
 PROTO_TCP, PROTO_UDP, VXLAN_PORT = 6, 17, 4789
@@ -42,54 +36,178 @@ PORT_NAMES = {
     8080: "http_alt",
 }
 
-# Fixed value: no capture tool writes a longer record.
-MAX_RECORD = 262144
-
-
-def _records(content):
-    """Yield link type, time, length and bytes of each complete record."""
-    if len(content) < FILE_HEADER:
-        return
-    known = MAGIC.get(struct.unpack_from(">I", content)[0])
-    if known is None:
-        raise ValueError("not a capture file of a known kind")
-    order, fraction = known
-    link_type = struct.unpack_from(order + "I", content, 20)[0] & 0xFFFF
-    header = struct.Struct(order + "IIII")
-    at = FILE_HEADER
-    while at + RECORD_HEADER <= len(content):
-        seconds, part, size, _ = header.unpack_from(content, at)
-        at += RECORD_HEADER
-        if size > MAX_RECORD:
-            raise ValueError(f"damaged capture record of {size} bytes before byte {at}")
-        if at + size > len(content):
-            return
-        time = (seconds * fraction + part) / fraction
-        yield link_type, time, size, content[at : at + size]
-        at += size
-
-
-def _frames(batches):
-    columns = ["link_type", "timestamp", "length", "frame"]
+BLOCK_BYTES, MOST_TASKS = 32 * 1024 * 1024, 20_000
+BATCH_FRAMES, BATCH_BYTES = 4096, 8 * 1024 * 1024
+_ARROW = pa.schema(
+    [
+        ("path", pa.string()), ("capture", pa.string()), ("frame_no", pa.int64()), ("link_type", pa.int32()),
+        ("timestamp", pa.float64()), ("length", pa.int64()), ("frame", pa.binary()),
+    ]
+)
+
+
+def frame_batches(data, found, path, capture, frame_no):
+    """Arrow batches of bounded size of the packets that a walk has ``found``."""
+    held, size = [], 0
+
+    def batch():
+        link, time, frames = zip(*held)
+        n = len(held)
+        columns = [
+            [path] * n, [capture] * n, range(frame_no, frame_no + n), link, time, [len(f) for f in frames], frames,
+        ]
+        arrays = [pa.array(c, f.type) for c, f in zip(columns, _ARROW)]
+        return pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
+
+    for _, (link, time, start, end) in found:
+        held.append((link, time, data.read(start, end - start)))
+        size += end - start
+        if len(held) == BATCH_FRAMES or size >= BATCH_BYTES:
+            yield batch()
+            frame_no += len(held)
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
+def _whole_files(batches):
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            frames = pd.DataFrame(_records(content), columns=columns)
-            frames.insert(0, "frame_no", range(len(frames)))
-            # the file header and the first record stay while a capture grows
-            first = FILE_HEADER + RECORD_HEADER + frames["length"].iloc[0] if len(frames) else 0
-            frames.insert(0, "capture", hashlib.md5(content[:first]).hexdigest())
-            frames.insert(0, "path", path)
-            yield frames
+        for path, content in zip(batch["path"].to_pylist(), batch["content"]):
+            data = walk.Content(memoryview(content.as_buffer()).tobytes() if content.is_valid else b"")
+            steps = walk.walker(data)
+            if steps:
+                capture = walk.capture_name(data, walk.walker(data))
+                yield from frame_batches(data, walk.packets(steps, steps.start, data.size), path, capture, 0)
 
 
 def read_frames(files):
-    """Frames of capture files (``path``, ``content``); works on streams too.
+    """Frames of capture files that are rows (``path``, ``content``); works on streams too.
 
     An incomplete last record, as in a file still being written, is left out.
-    A file of another kind or with a damaged record raises an error.
+    A file of another kind or with a damaged record raises an error. Files in
+    a folder are better read by ``index_captures`` and ``indexed_frames``.
     """
     ship(files.sparkSession)
-    return files.select("path", "content").mapInPandas(_frames, FRAMES)
+    return files.select("path", "content").mapInArrow(_whole_files, FRAMES)
+
+
+def list_captures(spark, folder):
+    """``path`` and ``length`` of the files in ``folder``; no bytes are read."""
+    return spark.read.format("binaryFile").load(folder).select("path", "length")
+
+
+def _walk(row):
+    """Walk one block from ``start``, or from where a record seems to start."""
+    row |= {"end": None, "frames": 0, "problem": None, "heads": None, "order_out": row["order_in"]}
+    data = walk.File(row["path"], row["length"])
+    try:
+        steps = walk.walker(data, row["order_in"])
+        if steps is None:
+            return row | {"start": 0, "end": 0}
+        row["order_in"] = steps.order
+        if row["block"] == 0:
+            row |= {"start": steps.start, "capture": walk.capture_name(data, walk.walker(data))}
+        elif row["start"] is None:
+            row["start"] = walk.plausible_start(steps, row["lo"], row["hi"])
+            if row["start"] is None:
+                return row
+        at = row["start"]
+        while at < row["hi"] and (found := steps.step(at)):
+            at, packet = found
+            row["frames"] += packet is not None
+        row["end"] = at
+    except walk.Damaged as damage:
+        row["problem"] = str(damage)
+        return row
+    finally:
+        data.close()
+    return row | {"order_out": steps.order, "heads": steps.heads or None}
+
+
+def _guessed(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_pylist([_walk(row) for row in batch.to_pylist()], schema=batch.schema)
+
+
+def _agreed(batches):
+    """Blocks of a file in order, each starting where the one before ended; walked again if guessed otherwise."""
+    last = None
+    for batch in batches:
+        rows = []
+        for row in batch.to_pylist():
+            if last and last["path"] == row["path"]:
+                if last["problem"]:
+                    continue
+                if (row["start"], row["order_in"]) != (last["end"], last["order_out"]):
+                    row = _walk(row | {"start": last["end"], "order_in": last["order_out"]})
+                heads, new = last["known_heads"], last["heads"] or b""
+                row |= {
+                    "capture": last["capture"],
+                    "first_frame": last["first_frame"] + last["frames"],
+                    "known_heads": new if walk.starts_section(new) else heads + new,
+                }
+            else:
+                row |= {"first_frame": 0, "known_heads": b""}
+            rows.append(row)
+            last = row
+        yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
+
+
+def index_captures(files, block_bytes=BLOCK_BYTES):
+    """Blocks of capture ``files`` (``path``, ``length``) as a table in the shared folder.
+
+    All blocks are walked at once from guessed starts; then the rows of a file,
+    one per block, are read in order, and only blocks with a wrong guess are walked
+    again. Blocks after a damaged record are left out; its block has a ``problem``.
+    """
+    spark = files.sparkSession
+    ship(spark)
+    size = F.lit(block_bytes).cast("long")
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), size)
+    rows = files.select("path", "length", F.posexplode(starts).alias("block", "lo")).withColumn(
+        "hi", F.least(F.col("lo") + size, F.col("length"))
+    )
+    known = [F.col(f.name) if f.name in rows.columns else F.lit(None) for f in CAPTURE_BLOCKS]
+    rows = rows.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(known, CAPTURE_BLOCKS)])
+    # a block is a small row but much work, so blocks are dealt by number, not by bytes
+    guessed = rows.repartition(_tasks(rows)).mapInArrow(_guessed, CAPTURE_BLOCKS)
+    folder = run_folder(spark, "capture-blocks")
+    guessed.repartition("path").sortWithinPartitions("path", "block").mapInArrow(
+        _agreed, CAPTURE_BLOCKS
+    ).write.parquet(folder)
+    return spark.read.schema(CAPTURE_BLOCKS).parquet(folder)
+
+
+def _tasks(blocks):
+    return max(1, min(blocks.count(), MOST_TASKS))
+
+
+def _up_to_damage(found):
+    try:
+        yield from found
+    except walk.Damaged:
+        return  # the index has it
+
+
+def _read_blocks(batches):
+    for batch in batches:
+        for row in batch.to_pylist():
+            data = walk.File(row["path"], row["length"])
+            steps = walk.walker(data, row["order_in"], row["known_heads"])
+            found = _up_to_damage(walk.packets(steps, row["start"], row["hi"]))
+            yield from frame_batches(data, found, row["path"], row["capture"], row["first_frame"])
+            data.close()
+
+
+def indexed_frames(index):
+    """Frames of all readable blocks, those before a damaged record included."""
+    rows = index.filter("frames > 0")
+    return rows.repartition(_tasks(rows)).mapInArrow(_read_blocks, FRAMES)
+
+
+def rejected_captures(index):
+    """``path`` and ``problem`` of the files that could not be read to their end."""
+    return index.filter(F.col("problem").isNotNull()).select("path", "problem")
 
 
 def _number(data, at, size):
@@ -230,9 +348,25 @@ def decode_captures(files):
     return normalize_packets(read_headers(read_frames(files)))
 
 
-def read_captures(spark, folder):
-    """Packet rows of every capture file in ``folder``."""
-    return decode_captures(spark.read.format("binaryFile").load(folder))
+def read_captures(spark, folder, rejected=None, block_bytes=BLOCK_BYTES):
+    """Packet rows of every capture file in ``folder``, read by blocks of bytes.
+
+    A file of another kind or with a damaged record raises an error. With
+    ``rejected``, a folder, such files are written there with the reason, and
+    what stands before the damage is read. File systems are those pyarrow knows.
+    """
+    index = index_captures(list_captures(spark, folder), block_bytes)
+    problems = rejected_captures(index)
+    if rejected is not None:
+        problems.write.mode("overwrite").parquet(rejected)
+    elif (bad := problems.first()) is not None:
+        raise ValueError(f"{bad.path}: {bad.problem}")
+    rows = normalize_packets(read_headers(indexed_frames(index)))
+    # Decoded once: a filter on packets would else be pushed down through every
+    # header column, and its expression would grow with each of them.
+    stored = run_folder(spark, "packets")
+    rows.write.parquet(stored)
+    return spark.read.schema(rows.schema).parquet(stored)
 
 
 def stream_captures(spark, folder):

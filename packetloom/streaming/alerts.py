@@ -35,6 +35,10 @@ class AlertTables:
     def auto_blocks(self):
         return f"{self.out}/auto_blocks"
 
+    @property
+    def rejected(self):
+        return f"{self.out}/rejected"
+
     @property
     def checkpoint(self):
         return f"{self.out}/checkpoint"
@@ -64,9 +68,12 @@ def packet_stream(spark, folder, format="parquet", max_files=None):
     return reader.load(folder)
 
 
-def run_alert_stream(packets, tables, trigger=None, **rules):
+def run_alert_stream(packets, tables, trigger=None, prepare=None, **rules):
     """Start the alert stream; ``trigger`` defaults to one batch per second.
 
+    ``prepare`` makes packets of a batch and its number if the stream holds
+    something else, such as frames of live captures.
+
     Each batch stores its packets, re-reads the lists, blocks deny-listed
     sources and raises graded alerts. The block list of a batch is the kept
     table plus the automatic blocks of earlier batches only, so running a batch
@@ -80,9 +87,14 @@ def run_alert_stream(packets, tables, trigger=None, **rules):
         deny = read_table(spark, tables.deny, ADDRESS_LIST)
         kept = read_table(spark, tables.blocked, BLOCKED).select("ip")
         blocked = kept.unionByName(_earlier_blocks(spark, tables, batch_id))
-        batch = batch.persist()
+        taken = batch.persist() if prepare else batch
         try:
-            batch.write.mode("overwrite").parquet(f"{tables.packets}/{folder}")
+            if prepare:
+                batch = prepare(taken, batch_id)
+            stored = f"{tables.packets}/{folder}"
+            batch.write.mode("overwrite").parquet(stored)
+            # lists and rules read the stored packets: nothing is decoded twice
+            batch = spark.read.schema(PACKETS).parquet(stored)
             new = auto_block(batch, deny, blocked, F.current_timestamp()).persist()
             target = f"{tables.auto_blocks}/{folder}"
             # Only batches that block somebody leave a folder, so there are
@@ -94,7 +106,7 @@ def run_alert_stream(packets, tables, trigger=None, **rules):
                 "overwrite"
             ).parquet(f"{tables.alerts}/{folder}")
         finally:
-            batch.unpersist()
+            taken.unpersist()
 
     return (
         packets.writeStream.foreachBatch(process)
