@@ -278,6 +278,16 @@ _add(
 # Lists, alert views, audit
 
 _add("upserted_blocks", ["block_log"], "select * from latest", _LATEST_BLOCKS)
+ORACLES["stored_blocks"] = ORACLES["upserted_blocks"]
+_add(
+    "stored_catalog",
+    ["catalog"],
+    """select id, name, 0 as version from catalog
+       union all
+       select id, name, 1 from catalog
+       where id in ('ds_historical_nids', 'ds_live_sniffer', 'ds_llm_models')
+          or id not in (select concat('ds_', doc_id) from labels where toxic = 1)""",
+)
 _add(
     "active_blocks",
     ["block_log"],

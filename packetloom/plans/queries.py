@@ -18,8 +18,9 @@ from packetloom.operators import (
 )
 from packetloom.operators.profile import profile
 from packetloom.plans.adapters import capture_files, catalog_table, frame, upload_files
+from packetloom.schemas import BLOCKED, CATALOG
 from packetloom.session import run_folder
-from packetloom.sources import binary, captures, files, retention
+from packetloom.sources import binary, captures, files, retention, snapshots
 from packetloom.streaming import alerts as alert_stream
 from packetloom.streaming import captures as capture_stream
 from packetloom.streaming import traffic
@@ -401,6 +402,16 @@ def upserted_blocks(spark, d):
     )
 
 
+@query
+def stored_blocks(spark, d):
+    """The block list as a stored table that two changes replace, one after the other."""
+    log = frame(spark, d, "block_log")
+    table = snapshots.Snapshots(spark, run_folder(spark, "blocks"), BLOCKED)
+    for status in ("BLOCKED", "REMOVED"):
+        table.update(lambda rows, changes=log.filter(F.col("status") == status): lists.upsert_blocked(rows, changes))
+    return table.read()
+
+
 @query
 def active_blocks(spark, d):
     return lists.active_blocks(lists.current_blocks(frame(spark, d, "block_log")))
@@ -533,6 +544,18 @@ def upload_entries(spark, d):
     return catalog.register_accepted(existing, accepted, "/ingested", AS_OF).drop("schema", "description")
 
 
+@query
+def stored_catalog(spark, d):
+    """The catalog as a stored table before and after datasets are removed."""
+    rows = catalog_table(spark, d)
+    table = snapshots.Snapshots(spark, run_folder(spark, "catalog"), CATALOG)
+    table.update(lambda old: old.unionByName(rows))
+    ids = frame(spark, d, "labels").filter("toxic = 1").select(F.concat(F.lit("ds_"), "doc_id").alias("id"))
+    table.update(lambda old: catalog.deregister(old, ids))
+    versions = [table.read(v).select("id", "name", F.lit(v).alias("version")) for v in (0, 1)]
+    return versions[0].unionByName(versions[1])
+
+
 @query
 def deregistered_catalog(spark, d):
     ids = frame(spark, d, "labels").filter("toxic = 1").select(

@@ -5,6 +5,10 @@ from pyspark.sql import types as T
 
 from packetloom.operators.uploads import EXTENSION
 from packetloom.schemas import FLOWS, PACKETS
+from packetloom.sources.shared import Store
+
+#: Spark writes this file last.
+MARK = "_SUCCESS"
 
 
 def read_flows_csv(spark, path, schema=FLOWS, class_column="label"):
@@ -48,9 +52,47 @@ def load_flows(spark, path, view=None, schema=None):
     return flows
 
 
+def recover(spark, path):
+    """Finish or undo a replacement that broke off; returns whether a whole table stands at ``path``."""
+    path = path.rstrip("/")
+    store, new, old = Store(spark, path), f"{path}._new", f"{path}._old"
+    if not store.exists(path):
+        if store.exists(f"{new}/{MARK}"):
+            store.rename(new, path)
+        elif store.exists(old):
+            store.rename(old, path)
+    whole = store.exists(f"{path}/{MARK}")
+    if whole:
+        store.delete(old)
+    store.delete(new)
+    return whole
+
+
+def replace_table(rows, path, format="parquet", partition_by=()):
+    """Replace the table at ``path``: readers find the old or the new one, also after a crash.
+
+    The new table is written beside the old one and takes its place by two
+    renames; a call that broke off is finished or undone by the next one, or by
+    ``recover``. One writer at a time; several need ``sources.snapshots``.
+    """
+    spark, path = rows.sparkSession, path.rstrip("/")
+    recover(spark, path)
+    store, new, old = Store(spark, path), f"{path}._new", f"{path}._old"
+    rows.write.partitionBy(*partition_by).format(format).save(new)
+    if store.exists(path):
+        store.delete(old)
+        store.rename(path, old)
+    store.rename(new, path)
+    store.delete(old)
+
+
 def ingest_if_absent(spark, csv_path, parquet_path, schema=FLOWS):
-    """Convert CSV to Parquet unless the Parquet table exists; open the table."""
-    write_flows(read_flows_csv(spark, csv_path, schema), parquet_path, mode="ignore")
+    """Convert CSV to Parquet unless a whole Parquet table exists; open the table.
+
+    What a call that broke off has left is no table: it is written anew.
+    """
+    if not recover(spark, parquet_path):
+        replace_table(read_flows_csv(spark, csv_path, schema), parquet_path)
     return load_flows(spark, parquet_path, schema=None)
 
 
@@ -64,7 +106,7 @@ def load_packets(spark, path, format="json"):
 
 def save_report(report, path, format="parquet"):
     """Save a query result as a report table, replacing the last one."""
-    report.write.mode("overwrite").format(format).save(path)
+    replace_table(report, path, format)
 
 
 def append(rows, path):

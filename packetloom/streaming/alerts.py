@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from packetloom.operators.packets import auto_block, raise_alerts
 from packetloom.schemas import ADDRESS_LIST, ALERTS, BLOCKED, BLOCKED_BY_BATCH, PACKETS
+from packetloom.streaming.compaction import compact, read_batches
 
 
 @dataclass(frozen=True)
@@ -107,6 +108,9 @@ def run_alert_stream(packets, tables, trigger=None, prepare=None, **rules):
             ).parquet(f"{tables.alerts}/{folder}")
         finally:
             taken.unpersist()
+        # this batch may be made again, those before it not
+        compact(spark, tables.packets, PACKETS, batch_id)
+        compact(spark, tables.alerts, ALERTS, batch_id)
 
     return (
         packets.writeStream.foreachBatch(process)
@@ -127,4 +131,9 @@ def _earlier_blocks(spark, tables, batch_id):
 
 def stream_alerts(spark, tables):
     """All alerts the stream has raised so far."""
-    return read_table(spark, tables.alerts, ALERTS)
+    return read_batches(spark, tables.alerts, ALERTS).select(*ALERTS.names)
+
+
+def stream_packets(spark, tables):
+    """All packets the stream has taken so far."""
+    return read_batches(spark, tables.packets, PACKETS).select(*PACKETS.names)

@@ -28,6 +28,7 @@ from packetloom.session import ship
 from packetloom.sources import walk
 from packetloom.sources.captures import frame_batches, read_headers
 from packetloom.streaming.alerts import read_table, run_alert_stream
+from packetloom.streaming.compaction import compact, read_batches
 
 FORMAT = "packetloom_captures"
 NEW_FRAMES = T.StructType([*FRAMES.fields, T.StructField("problem", T.StringType(), True)])
@@ -241,13 +242,14 @@ def take_captures(spark, folder, out):
             prepare(batch, batch_id).write.mode("overwrite").parquet(f"{out}/packets/batch_id={batch_id}")
         finally:
             batch.unpersist()
+        compact(batch.sparkSession, f"{out}/packets", empty.schema, batch_id)
 
+    empty = normalize_packets(read_headers(spark.createDataFrame([], FRAMES)))
     frames = stream_frames(spark, folder, f"{out}/captures")
     frames.writeStream.foreachBatch(process).option("checkpointLocation", f"{out}/checkpoint").trigger(
         availableNow=True
     ).start().awaitTermination()
-    empty = normalize_packets(read_headers(spark.createDataFrame([], FRAMES)))
-    return read_table(spark, f"{out}/packets", empty.schema)
+    return read_batches(spark, f"{out}/packets", empty.schema).select(*empty.columns)
 
 
 def rejected_files(spark, out):

@@ -1,6 +1,18 @@
 """Traffic per minute as a stream."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from packetloom.streaming.compaction import compact, read_batches
+
+MINUTES = T.StructType(
+    [
+        T.StructField("time_window", T.TimestampType()),
+        T.StructField("label", T.StringType()),
+        T.StructField("total_bytes", T.LongType()),
+        T.StructField("flow_count", T.LongType()),
+    ]
+)
 
 
 def traffic_stream(flows, class_column="label", late_after=None):
@@ -37,6 +49,7 @@ def run_traffic_stream(flows, out, trigger=None, class_column="label", late_afte
 
     def process(changed, batch_id):
         changed.write.mode("overwrite").parquet(f"{out}/minutes/batch_id={batch_id}")
+        compact(changed.sparkSession, f"{out}/minutes", MINUTES, batch_id)
 
     return (
         traffic_stream(flows, class_column, late_after)
@@ -50,7 +63,7 @@ def run_traffic_stream(flows, out, trigger=None, class_column="label", late_afte
 
 def stream_traffic(spark, out):
     """Newest state of every minute and class the stream has written."""
-    versions = spark.read.parquet(f"{out}/minutes")
+    versions = read_batches(spark, f"{out}/minutes", MINUTES)
     latest = F.max(F.struct("batch_id", "total_bytes", "flow_count")).alias("last")
     return (
         versions.groupBy("time_window", "label")
