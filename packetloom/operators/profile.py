@@ -1,35 +1,43 @@
 """Column profile of a whole table, exact at any size.
 
 An exact percentile is usually computed by gathering every distinct value in
-one task. Here a first pass over the table takes the ordinary statistics and a
-narrow bracket around each percentile from a mergeable sketch. A second pass
-counts the rows outside each bracket and, by value, those inside it, a fraction
-of about ``8 / accuracy`` of the rows. A bracket is cut into equal slots; only
-the one or two slots that hold the wanted ranks are sorted.
+one task. Here all columns are read together, a few times, by one aggregate each
+that sends a single row: the first pass takes the ordinary statistics and a grid of
+values of about equal rank from a mergeable sketch. The grid gives a bracket
+around each wanted rank; the next pass counts the rows below and within it, so
+a bracket that missed its rank is seen and widened. A rank that falls on a bracket's
+end is settled; the others are in the list of what is inside, if that is short,
+or in a bracket from a finer grid of it. Values are compared in their own type.
 """
 
-from functools import reduce
-from operator import or_
+import math
+from dataclasses import dataclass, field
+from decimal import Decimal
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The percentiles of a profile.
 QUARTILES = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
 
-SLOTS = 1000
 ACCURACY = 10000
+#: Parts of equal rank that a pass cuts a bracket into.
+PARTS = 200
+#: Rows of a bracket that are few enough to be listed.
+FEW = 10_000
 
 
 def _numeric(df):
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def _value(name):
-    """Column as double; NaN counts as missing."""
-    number = F.col(f"`{name}`").cast("double")
-    return F.when(~F.isnan(number), number)
+def _value(df, name):
+    """Column in its own type; fractions as double, of which NaN counts as missing."""
+    column = F.col(f"`{name}`")
+    if isinstance(df.schema[name].dataType, T.FractionalType) and not isinstance(df.schema[name].dataType, T.DecimalType):
+        number = column.cast("double")
+        return F.when(~F.isnan(number), number)
+    return column
 
 
 def profile(df, exact=True, accuracy=ACCURACY):
@@ -39,199 +47,184 @@ def profile(df, exact=True, accuracy=ACCURACY):
     they come from the sketch of the first pass alone.
     """
     names = _numeric(df)
-    kinds = df.sparkSession.createDataFrame(
-        [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
-        "position int, column string, type string",
-    )
-    values = df.select([_value(n).alias(n) for n in names])
-    if not names:
-        empty = ("mean", "std", "min", *[n for n, _ in QUARTILES], "max")
-        return kinds.withColumn("count", F.lit(0).cast("long")).select(
-            "*", *[F.lit(None).cast("double").alias(name) for name in empty]
-        )
-    sketched = () if exact else QUARTILES
-    stats = _long(values.agg(*[_statistics(n, sketched, accuracy) for n in names]), names)
-    if exact:
-        points = exact_percentiles(values, names, QUARTILES, accuracy)
-        stats = stats.join(points, "column", "left")
-    return kinds.join(stats, "column", "left").select(
-        "position",
-        "column",
-        "type",
-        F.coalesce("count", F.lit(0)).alias("count"),
-        "mean",
-        "std",
-        "min",
-        *[n for n, _ in QUARTILES],
-        "max",
-    )
+    values = df.select(*[_value(df, n).alias(n) for n in names])
+    found = {}
+    if names:
+        points = QUARTILES if exact else ()
+        sketched = () if exact else QUARTILES
+        first = values.agg(*[_statistics(n, sketched, accuracy) for n in names], *_grids(names if exact else (), accuracy)).first()
+        between = ranked(values, names, points, accuracy, first) if exact else {}
+        for name in names:
+            stats = first[f"stats {name}"].asDict()
+            found[name] = stats | {p: _between(*between[name, p]) for p, _ in points}
+    kinds = ("mean", "std", "min", *[n for n, _ in QUARTILES], "max")
+    rows = []
+    for i, f in enumerate(df.schema.fields):
+        stats = found.get(f.name, {"count": 0})
+        rows.append((i, f.name, f.dataType.simpleString(), stats["count"], *[_double(stats.get(k)) for k in kinds]))
+    schema = "position int, column string, type string, count bigint, " + ", ".join(f"{k} double" for k in kinds)
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+def _double(value):
+    return None if value is None else float(value)
+
+
+def _between(lower, upper, weight):
+    """Linear interpolation; equal neighbours stay as they are."""
+    if lower is None or lower == upper:
+        return lower
+    return float(lower) + float(upper - lower) * weight
 
 
 def _statistics(name, points, accuracy):
     value = F.col(f"`{name}`")
+    double = value.cast("double")
     return F.struct(
         F.count(value).alias("count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
+        F.avg(double).alias("mean"),
+        F.stddev_samp(double).alias("std"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
         *[F.percentile_approx(value, q, accuracy).alias(n) for n, q in points],
-    ).alias(name)
-
-
-def _pairs(names):
-    """``column, value`` for each column of a row, ready to explode."""
-    return F.array(
-        *[F.struct(F.lit(n).alias("column"), F.col(f"`{n}`").alias("value")) for n in names]
-    )
-
-
-def _long(wide, names):
-    return wide.select(F.explode(_pairs(names)).alias("pair")).select(
-        "pair.column", "pair.value.*"
-    )
-
+    ).alias(f"stats {name}")
+
+
+def _grid(value, accuracy):
+    """Values at equal steps of rank, the least and the largest included."""
+    shares = F.expr(f"array({', '.join(f'{i / PARTS!r}D' for i in range(PARTS + 1))})")
+    return F.percentile_approx(value, shares, max(accuracy, 4 * PARTS))
+
+
+def _grids(names, accuracy):
+    return [_grid(F.col(f"`{n}`").cast("double"), accuracy).alias(f"grid {n}") for n in names]
+
+
+def _typed(number, kind):
+    """A sketch's double as a value of the column's type, near enough to be counted against."""
+    if isinstance(kind, T.DecimalType):
+        return Decimal(repr(number)).quantize(Decimal(1).scaleb(-kind.scale))
+    return math.floor(number) if isinstance(kind, T.IntegralType) else number
+
+
+@dataclass
+class _Bracket:
+    """Values ``low`` to ``high`` of a column, which should hold the wanted ``ranks``."""
+
+    name: str
+    kind: T.DataType
+    ranks: list  # wanted, not settled
+    low: object
+    high: object
+    outer: tuple  # of the last pass: it does hold them
+    settled: dict = field(default_factory=dict)
+    step: str = "count"  # then "list" if few rows are inside, or "ends", "grid" and "count" again
+    below: int = 0  # once counted: rows below the bracket
+    n: int = 0  # and within it
+
+    def wanted(self, column, accuracy):
+        """What the next pass has to find out."""
+        low, high = F.lit(self.low).cast(self.kind), F.lit(self.high).cast(self.kind)
+        inside = column.between(low, high)
+        if self.step == "list":
+            return F.array_sort(F.collect_list(F.when(inside, column)))
+        if self.step == "grid":
+            return _grid(F.when(inside, self.shifted(column, low)), accuracy)
+        if self.step == "count":
+            return F.struct(F.count_if(column < low).alias("below"), F.count_if(inside).alias("n"))
+        return F.struct(
+            F.count_if(column == low).alias("at_low"),
+            F.count_if(column == high).alias("at_high"),
+            F.min(F.when(inside & (column > low), column)).alias("next"),
+            F.max(F.when(inside & (column < high), column)).alias("last"),
+        )
 
-def _brackets(name, points, accuracy):
-    """Number of values and, per percentile, a value bracket around it."""
-    value, margin = F.col(f"`{name}`"), 4.0 / accuracy
-    shares = [
-        share for _, q in points for share in (max(q - margin, 0.0), min(q + margin, 1.0))
-    ]
-    # One sketch per column serves all brackets.
-    ends = F.percentile_approx(value, shares, accuracy)
-    return F.struct(
-        F.count(value).alias("n"),
-        F.array(
-            *[
-                F.struct(
-                    F.get(ends, F.lit(2 * i)).alias("low"),
-                    F.get(ends, F.lit(2 * i + 1)).alias("high"),
-                )
-                for i in range(len(points))
-            ]
-        ).alias("brackets"),
-    )
-
-
-def exact_percentiles(values, names, points=QUARTILES, accuracy=ACCURACY):
-    """Exact interpolated percentiles of each double column in ``names``.
-
-    The sketch is off by at most ``1 / accuracy`` of the rows in rank; the
-    bracket reaches four times as far on either side. In a short table the
-    next rank may still lie just outside, so the neighbours of each bracket
-    are kept as well.
+    def base(self):
+        """Whole numbers are sketched as distances from here, which tells large ones apart."""
+        return self.low if isinstance(self.low, int) and self.high - self.low < 2**63 else None
+
+    def shifted(self, column, low):
+        return column.cast("double") if self.base() is None else (column.cast("bigint") - low.cast("bigint")).cast("double")
+
+    def learn(self, found):
+        if self.step == "list":
+            self.settled |= {r: found[r - self.below] for r in self.ranks}
+            self.ranks = []
+        elif self.step == "grid":
+            self.narrow(found)
+        elif self.step == "count":
+            self.count(found)
+        else:
+            self.settle(found)
+
+    def count(self, found):
+        """Whether the bracket holds its ranks; if not, the sketch was off and an end too near."""
+        below, above = found.below, found.below + found.n
+        if self.ranks[0] < below or self.ranks[-1] >= above:
+            self.low = self.outer[0] if self.ranks[0] < below else self.low
+            self.high = self.outer[1] if self.ranks[-1] >= above else self.high
+            return
+        self.below, self.n = below, found.n
+        if self.low == self.high:
+            self.settled |= dict.fromkeys(self.ranks, self.low)
+            self.ranks = []
+        self.step = "list" if self.n <= FEW else "ends"
+
+    def settle(self, found):
+        """Settle ranks at the bracket's ends; the others lie strictly between these."""
+        for r in self.ranks:
+            if r < self.below + found.at_low:
+                self.settled[r] = self.low
+            elif r >= self.below + self.n - found.at_high:
+                self.settled[r] = self.high
+        self.ranks = [r for r in self.ranks if r not in self.settled]
+        if self.ranks:
+            self.low, self.high = found.next, found.last
+            self.below, self.n = self.below + found.at_low, self.n - found.at_low - found.at_high
+            self.step = "list" if self.n <= FEW else "grid"
+
+    def narrow(self, grid):
+        """Bring the ends nearer to the wanted ranks."""
+        base, self.outer, self.step = self.base() or 0, (self.low, self.high), "count"
+        grid = [base + _typed(g, self.kind) for g in grid] if base else [_typed(g, self.kind) for g in grid]
+        first = math.floor((self.ranks[0] - self.below) / self.n * PARTS) - 1
+        last = math.ceil((self.ranks[-1] - self.below + 1) / self.n * PARTS) + 1
+        if first > 0:
+            self.low = min(max(self.low, grid[first]), self.high)
+        if last < PARTS:
+            self.high = max(min(self.high, grid[last]), self.low)
+
+
+def ranked(values, names, points, accuracy=ACCURACY, first=None):
+    """For each column and point: the values at the ranks around it, and the weight of the upper one.
+
+    ``first``, a row with the first pass's ``stats`` and ``grid`` of each column,
+    is computed if it is not given. Values are in the column's own type.
     """
-    # One map of a few dozen numbers, read by every task as a constant.
-    limits = values.agg(
-        F.create_map(
-            *[x for n in names for x in (F.lit(n), _brackets(n, points, accuracy))]
-        ).alias("limits")
-    ).scalar()
-    value = F.col("value")
-
-    def slot(bracket):
-        """Slot of the value in a bracket; below and above it lie one slot each."""
-        low, high = bracket["low"], bracket["high"]
-        within = F.coalesce(F.width_bucket(value, low, high, F.lit(SLOTS)), F.lit(0))
-        return F.when(value < low, -1).when(value > high, 2 * SLOTS).otherwise(within.cast("int"))
-
-    def in_bracket(slot_no):
-        return (slot_no >= 0) & (slot_no < 2 * SLOTS)
-
-    slots = [slot(F.get(F.col("b.brackets"), F.lit(i))) for i in range(len(points))]
-    inside_any = reduce(or_, [in_bracket(F.get("slots", F.lit(i))) for i in range(len(points))])
-    # A row outside all brackets adds to a group that its neighbours share.
-    first_count = (
-        values.select(F.explode(_pairs(names)).alias("pair"))
-        .select("pair.*")
-        .filter(value.isNotNull())
-        .select("column", "value", limits[F.col("column")].alias("b"))
-        .select("column", "value", F.col("b.n").alias("n"), F.array(*slots).alias("slots"))
-        .groupBy("column", "n", "slots", F.when(inside_any, value).alias("inside"))
-        .agg(
-            F.count("*").alias("rows"),
-            F.min("value").alias("smallest"),
-            F.max("value").alias("largest"),
-        )
-    )
-    named = F.array(
-        *[
-            F.struct(
-                F.lit(point).alias("point"),
-                F.lit(share).alias("share"),
-                F.get("slots", F.lit(i)).alias("slot"),
-            )
-            for i, (point, share) in enumerate(points)
-        ]
-    )
-    counted = (
-        first_count.select(
-            "column", "n", "inside", "rows", "smallest", "largest", F.explode(named).alias("p")
-        )
-        .select("column", "n", "p.*", "inside", "rows", "smallest", "largest")
-        .groupBy(
-            "column",
-            "n",
-            "point",
-            "share",
-            "slot",
-            F.when(in_bracket(F.col("slot")), F.col("inside")).alias("inside"),
-        )
-        .agg(
-            F.sum("rows").alias("rows"),
-            F.min("smallest").alias("smallest"),
-            F.max("largest").alias("largest"),
-        )
-    )
-    rank = (F.col("n") - 1) * F.col("share")
-    # Rows before each slot: a few thousand slots per column, not values.
-    by_slot = Window.partitionBy("column", "point").orderBy("slot")
-    offsets = (
-        counted.groupBy("column", "point", "slot")
-        .agg(F.sum("rows").alias("total"))
-        .withColumn(
-            "before", F.sum("total").over(by_slot.rowsBetween(Window.unboundedPreceding, 0))
-            - F.col("total"),
-        )
-    )
-    wanted = (F.ceil(rank) >= F.col("before")) & (
-        F.floor(rank) < F.col("before") + F.col("total")
-    )
-    order = Window.partitionBy("column", "point", "slot").orderBy("smallest")
-    end = F.col("before") + F.sum("rows").over(
-        order.rowsBetween(Window.unboundedPreceding, 0)
-    )
-    first, last = F.col("end") - F.col("rows"), F.col("end") - 1
-
-    def at(position):
-        """Value at a 0-based rank; NULL where a group does not settle it."""
-        held = (position >= first) & (position <= last)
-        known = (
-            F.when(position == last, F.col("largest"))
-            .when(position == first, F.col("smallest"))
-            .when(F.col("inside").isNotNull(), F.col("inside"))
-        )
-        return F.max(F.when(held, known))
-
-    found = (
-        counted.join(offsets, ["column", "point", "slot"])
-        .filter(wanted)
-        .withColumn("end", end)
-        .groupBy("column", "point")
-        .agg(
-            at(F.floor(rank)).alias("lower"),
-            at(F.ceil(rank)).alias("upper"),
-            F.max(rank - F.floor(rank)).alias("weight"),
-        )
-        .withColumn(
-            "value",
-            F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("weight"),
-        )
-    )
-    return found.groupBy("column").agg(
-        *[
-            F.max(F.when(F.col("point") == name, F.col("value"))).alias(name)
-            for name, _ in points
-        ]
-    )
+    if first is None:
+        first = values.agg(*[_statistics(n, (), accuracy) for n in names], *_grids(names, accuracy)).first()
+    kinds = {f.name: f.dataType for f in values.schema}
+    out, brackets = {}, {}
+    for name in names:
+        stats, grid = first[f"stats {name}"], first[f"grid {name}"]
+        for point, share in points:
+            if not stats["count"]:
+                out[name, point] = (None, None, 0.0)
+                continue
+            rank = (stats["count"] - 1) * share
+            ranks = sorted({math.floor(rank), math.ceil(rank)})
+            place = PARTS / stats["count"]
+            ends = [math.floor(ranks[0] * place) - 1, math.ceil(ranks[-1] * place) + 1]
+            kind, most = kinds[name], (stats["min"], stats["max"])
+            low = max(most[0], _typed(grid[ends[0]], kind)) if ends[0] > 0 else most[0]
+            high = min(most[1], _typed(grid[ends[1]], kind)) if ends[1] < PARTS else most[1]
+            brackets[name, point] = _Bracket(name, kind, ranks, min(low, high), max(low, high), most), rank
+    while todo := [(k, b) for k, (b, _) in brackets.items() if b.ranks]:
+        found = values.agg(
+            *[b.wanted(F.col(f"`{b.name}`"), accuracy).alias(str(i)) for i, (_, b) in enumerate(todo)]
+        ).first()
+        for i, (_, bracket) in enumerate(todo):
+            bracket.learn(found[i])
+    for key, (bracket, rank) in brackets.items():
+        out[key] = (bracket.settled[math.floor(rank)], bracket.settled[math.ceil(rank)], rank - math.floor(rank))
+    return out
