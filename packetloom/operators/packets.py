@@ -5,6 +5,7 @@ size is below ``spark.sql.autoBroadcastJoinThreshold``; a larger one is joined
 by a sort-merge join whose hot sources adaptive execution splits.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from packetloom.functions.text import first_match, let, local_text, mask_address
@@ -153,6 +154,47 @@ def grade_alerts(alerts, blocked):
     )
 
 
+def grade_alerts_at(alerts, log, seconds=3600):
+    """Severity and status by the state of the block list when each packet came.
+
+    ``log`` has the changes (``ip, blocked_at, status, reason``). The last change of the
+    source up to the packet's time counts; of changes at one time the largest status,
+    then reason. Changes are gathered by source and stretch of ``seconds``, with
+    the state that the stretch begins with, so an alert meets one row and
+    adaptive execution can split a hot source. Alerts without a time are active.
+    """
+    time = F.col("blocked_at").cast("double")
+    changes = (
+        log.filter(F.col("ip").isNotNull() & time.isNotNull())
+        .select("ip", F.floor(time / seconds).alias("stretch"), F.struct(time.alias("time"), "status", "reason").alias("change"))
+        .groupBy("ip", "stretch")
+        .agg(F.array_sort(F.collect_list("change")).alias("changes"), F.max("change").alias("last"))
+    )
+    stretch = F.floor(F.col("timestamp") / seconds)
+    asked = alerts.select(F.col("source").alias("ip"), stretch.alias("stretch")).distinct()
+    before = Window.partitionBy("ip").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    known = changes.join(asked, ["ip", "stretch"], "full_outer").select(
+        F.col("ip").alias("known_ip"),
+        F.col("stretch").alias("known_stretch"),
+        "changes",
+        F.last("last", ignorenulls=True).over(before).alias("begins"),
+    )
+    joined = alerts.withColumn("stretch", stretch).join(
+        known, (F.col("source") == F.col("known_ip")) & (F.col("stretch") == F.col("known_stretch")), "left"
+    )
+    past = F.filter(F.coalesce("changes", F.array().cast(changes.schema["changes"].dataType)), lambda c: c["time"] <= F.col("timestamp"))
+    state = F.coalesce(F.try_element_at(past, F.lit(-1)), F.col("begins"))["status"]
+    hit = F.coalesce(state == BLOCKED_STATUS, F.lit(False))
+    return joined.select(
+        "timestamp",
+        "message",
+        F.when(hit, MITIGATED_GRADE[0]).otherwise(ACTIVE_GRADE[0]).alias("severity"),
+        "source",
+        "target",
+        F.when(hit, MITIGATED_GRADE[1]).otherwise(ACTIVE_GRADE[1]).alias("status"),
+    )
+
+
 def raise_alerts(packets, allow, deny, blocked, exempt=EXEMPT_SOURCES, strict=False):
     """Graded alerts of a set of packets.
 

@@ -248,6 +248,17 @@ _add(
        from deny where ip in (select src from packets) and ip not in (select ip from held)""",
 )
 _add("graded_alerts", _ALERT_FRAMES, "select * from alerts", _ALERTS)
+_add(
+    "alerts_by_block_log",
+    ["packets", "block_log"],
+    """select timestamp, message, if(state = 'BLOCKED', 'INFO', 'CRITICAL') as severity, source, target,
+         if(state = 'BLOCKED', 'MITIGATED', 'ACTIVE') as status
+       from candidates c asof left join changes l on c.source = l.ip and c.timestamp >= l.at""",
+    _CANDIDATES
+    + """, changes as (
+      select ip, epoch_us(blocked_at) / 1000000.0::double as at, max({'status': status, 'reason': reason}).status as state
+      from block_log group by ip, blocked_at)""",
+)
 _add("capture_alert_run", _ALERT_FRAMES[1:], "select * from alerts", f"packets as ({_DECODED}), {_ALERTS}")
 _add("alert_stream_run", _ALERT_FRAMES, "select * from alerts", _ALERTS)
 _add("traffic_stream_run", ["flows"], _MINUTES)

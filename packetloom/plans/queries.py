@@ -338,6 +338,13 @@ def _alert_tables(spark, d, base):
     return tables
 
 
+@query
+def alerts_by_block_log(spark, d):
+    """Alerts graded by the block list as it was when their packets came."""
+    alerts = packets.alert_candidates(frame(spark, d, "packets"))
+    return packets.grade_alerts_at(alerts, frame(spark, d, "block_log"))
+
+
 @query
 def alert_stream_run(spark, d):
     """The alert stream over three landed files, lists read in each batch."""
