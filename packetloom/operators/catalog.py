@@ -49,6 +49,17 @@ def preview(df, *order, n=10):
     return (df.orderBy(*order) if order else df).limit(n)
 
 
+def named_uploads(accepted):
+    """Uploads whose form has a name and a description."""
+    return accepted.filter((strip(F.col("dataset")) != "") & (strip(F.col("description")) != ""))
+
+
+def upload_file():
+    """Name of an upload's cleaned file: a slash in the form's name makes no folder, nothing hides it."""
+    stem = F.regexp_replace(F.translate(F.lower("dataset"), " /\\", "___"), "^[._]+", "")
+    return F.concat(stem, F.lit("_"), F.md5(F.encode("path", "UTF-8")), F.lit(".csv"))
+
+
 def register_accepted(catalog, accepted, folder, at):
     """Add every accepted upload to the catalog.
 
@@ -67,19 +78,13 @@ def register_accepted(catalog, accepted, folder, at):
         ),
     )
     key = F.md5(F.encode("path", "UTF-8"))
-    stem = F.replace(F.lower("dataset"), F.lit(" "), F.lit("_"))
-    named = accepted.filter(
-        (strip(F.col("dataset")) != "") & (strip(F.col("description")) != "")
-    )
-    entries = named.select(
+    entries = named_uploads(accepted).select(
         F.concat(F.lit("ds_"), key).alias("id"),
         F.col("dataset").alias("name"),
         "description",
         F.concat(F.lit("Uploaded File ("), F.col("file"), F.lit(")")).alias("source"),
         F.lit(UPLOAD_FORMAT).alias("format"),
-        F.concat(F.lit(folder.rstrip("/") + "/"), stem, F.lit("_"), key, F.lit(".csv")).alias(
-            "location"
-        ),
+        F.concat(F.lit(folder.rstrip("/") + "/"), upload_file()).alias("location"),
         "category",
         moment.alias("created_at"),
         fields.cast(FIELD_LIST).alias("schema"),

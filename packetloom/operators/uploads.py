@@ -249,13 +249,33 @@ def clean_rows(accepted):
     )
 
 
+def cleaned_text(text, delimiter):
+    """CSV text of the defused cells with the file's own delimiter.
+
+    Cells that hold the delimiter, a quote mark or a line end are quoted, and so is
+    the only cell of a row if it is empty.
+    """
+    special = F.concat(F.lit("[\"\r\n"), F.when(delimiter == "|", r"\|").otherwise(delimiter), F.lit("]"))
+
+    def written(cell):
+        quoted = F.concat(F.lit('"'), F.replace(cell, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.when(F.rlike(cell, special), quoted).otherwise(cell)
+
+    def row(cells):
+        line = F.call_function("array_join", F.transform(cells, lambda c: written(defused(c))), delimiter)
+        return F.when((F.size(cells) == 1) & (line == ""), '""').otherwise(line)
+
+    lines = F.transform(csvtext.cells(text, delimiter), row)
+    return F.concat(F.array_join(lines, "\n"), F.lit("\n"))
+
+
 def upload_audit(verdicts, at, user=UPLOAD_USER):
     """One audit row per screened file. Needs ``dataset`` and ``description`` beside the verdict.
 
     As at registration, a form whose name or description is blank is not
     processed, so it leaves no row.
     """
-    verdicts = verdicts.filter((F.trim("dataset") != "") & (F.trim("description") != ""))
+    verdicts = verdicts.filter((strip(F.col("dataset")) != "") & (strip(F.col("description")) != ""))
     found = F.when(F.col("formula_found"), "True").otherwise("False")
     details = F.when(
         F.col("accepted"), _filled(ACCEPTED_DETAILS, F.col("dataset"), F.col("file"), found)

@@ -590,6 +590,14 @@ _add(
     """select path, row_no, cell_no, if(left(cell, 1) in ('=', '+', '-', '@'), '''' || cell, cell) as cell from clean""",
     _screen("uploads", 10485760),
 )
+_add(
+    "cleaned_files",
+    ["uploads"],
+    """select path, row_no, cell_no, if(left(cell, 1) in ('=', '+', '-', '@'), '''' || cell, cell) as cell
+       from clean join (select path, dataset, description from uploads) using (path)
+       where trim(dataset) <> '' and trim(description) <> ''""",
+    _screen("uploads", 10485760),
+)
 _add(
     "upload_audit",
     ["uploads"],

@@ -657,6 +657,23 @@ def clean_upload_rows(spark, d):
     return rows.select("path", "row_no", F.posexplode("cells").alias("cell_no", "cell"))
 
 
+@query
+def cleaned_files(spark, d):
+    """Cleaned uploads written, registered and read back from where the catalog says."""
+    table, limits = _uploads(spark, d)
+    accepted = uploads.accepted_uploads(table, **limits)
+    folder = run_folder(spark, "cleaned")
+    existing = catalog.build_catalog(catalog_table(spark, d)).limit(0)
+    entries = files.ingest_uploads(existing, accepted, folder, AS_OF)
+    name = F.substring_index("path", "/", -1)
+    found = spark.read.format("binaryFile").load(folder).select(name.alias("name"), F.decode("content", "UTF-8").alias("text"))
+    form = accepted.select(catalog.upload_file().alias("name"), "path", "delimiter")
+    listed = entries.select(F.substring_index("location", "/", -1).alias("name"))
+    cells = csvtext.cells(F.col("text"), F.col("delimiter"))
+    rows = found.join(listed, "name").join(form, "name").select("path", F.posexplode(cells).alias("row_no", "cells"))
+    return rows.select("path", (F.col("row_no") + 1).alias("row_no"), F.posexplode("cells").alias("cell_no", "cell"))
+
+
 @query
 def upload_audit(spark, d):
     table, limits = _uploads(spark, d)

@@ -3,8 +3,11 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packetloom.operators.uploads import EXTENSION
+from packetloom.operators.catalog import named_uploads, register_accepted, upload_file
+from packetloom.operators.uploads import EXTENSION, cleaned_text
 from packetloom.schemas import FLOWS, PACKETS
+from packetloom.session import run_folder
+from packetloom.sources.binary import write_files
 from packetloom.sources.shared import Store
 
 #: Spark writes this file last.
@@ -134,3 +137,20 @@ def read_uploads(spark, folder):
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     any_case = "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in EXTENSION)
     return reader.load(folder), reader.option("pathGlobFilter", f"*{any_case}").load(folder)
+
+
+def ingest_uploads(catalog, accepted, folder, at):
+    """Write the cleaned file of every accepted upload to ``folder``; the catalog with what was written.
+
+    Each file keeps its delimiter and stands where its catalog entry says. A file
+    comes under its name whole; an upload that was not written is not registered.
+    """
+    spark, folder = accepted.sparkSession, folder.rstrip("/")
+    text = F.encode(cleaned_text(F.col("text"), F.col("delimiter")), "UTF-8")
+    done = run_folder(spark, "written-uploads")
+    files = named_uploads(accepted).select(upload_file().alias("name"), text.alias("content"))
+    write_files(files, folder).write.parquet(done)
+    written = spark.read.schema("path string, length bigint").parquet(done).select(F.col("path").alias("written"))
+    location = F.concat(F.lit(f"{folder}/"), upload_file())
+    kept = accepted.join(written, location == F.col("written"), "left_semi")
+    return register_accepted(catalog, kept, folder, at)
