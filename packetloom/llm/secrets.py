@@ -3,13 +3,15 @@
 Strong parts (assignments, access keys, long hex runs) are always reported.
 Weak parts (logins, short values, mixed tokens, endpoints) are reported only if
 a complementary part stands within ``SCOPE`` code points: a secret for a login
-or an endpoint, a login, access key or endpoint for a secret. The parts are
-joined as intervals: each is put into a bucket of the scope's width, buckets are
-summed up by their first and last start, and a weak part meets the summaries of
-its own and the two neighbouring buckets, so no pair of parts is ever formed.
-
-A null text is empty and has no span. Equal texts are searched once and share
-their result, so repeated rows each get it. Matches of one kind never overlap; a
+or an endpoint, a login, access key or endpoint for a secret. Two parts that
+overlap are no partners, and a hex run or mixed token inside an endpoint is a
+piece of that address, nobody's partner. The parts are joined as intervals: each
+is put into a bucket of the scope's width, and a weak part meets those of its own
+and the two neighbouring buckets. Parts of a kind never overlap, so a bucket holds
+some hundred at most, whatever the text.
+
+A null text is empty and has no span. Equal texts share their result, so
+repeated rows each get it. Matches of one kind never overlap; a
 place may be in spans of several kinds. An empty table gives an empty result.
 Only the id and text columns are read, so other columns cannot clash.
 """
@@ -88,16 +90,19 @@ def parts(texts: DataFrame) -> DataFrame:
 
 
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """Strong parts, and weak parts with a complementary part in their scope."""
-    secret = F.col("kind").isin(*SECRET)
-    d = found.withColumn("is_secret", secret)
-    bucket = F.floor(F.col("start") / scope)
-    sums = d.groupBy("key", (~F.col("is_secret")).alias("is_secret"), bucket.alias("bucket")).agg(
-        F.min("start").alias("low"), F.max("start").alias("high"))
-    weak = d.filter(~F.col("kind").isin(*BASE))
-    near = weak.withColumn("bucket", F.explode(F.sequence(bucket - 1, bucket + 1)))
-    near = near.join(sums, ["key", "is_secret", "bucket"]).filter(
-        (F.col("low") <= F.col("start") + scope) & (F.col("high") >= F.col("start") - scope))
+    """Strong parts, and weak parts with a complementary part in their scope that they do not overlap."""
+    start, end, bucket = F.col("start"), F.col("end"), F.floor(F.col("start") / scope)
+    d = found.withColumn("is_secret", F.col("kind").isin(*SECRET)).withColumn("bucket", bucket)
+    place = F.struct("start", "end")
+    covers = found.filter("kind = 'endpoint'").withColumn("bucket", F.explode(F.sequence(bucket, F.floor((end - 1) / scope))))
+    covers = covers.groupBy("key", "bucket").agg(F.collect_list(place).alias("covers"))
+    covered = F.exists("covers", lambda c: (c["start"] <= start) & (start < c["end"]))
+    own = d.join(covers, ["key", "bucket"], "left")
+    own = own.filter(~F.col("kind").isin("hex", "token") | F.col("covers").isNull() | ~covered).drop("covers")
+    partners = own.groupBy("key", (~F.col("is_secret")).alias("is_secret"), "bucket").agg(F.collect_list(place).alias("partners"))
+    near = own.filter(~F.col("kind").isin(*BASE)).withColumn("bucket", F.explode(F.sequence(bucket - 1, bucket + 1)))
+    near = near.join(partners, ["key", "is_secret", "bucket"]).filter(F.exists("partners", lambda p: (
+        (F.abs(p["start"] - start) <= scope) & ((p["end"] <= start) | (p["start"] >= end)))))
     near = near.select("key", "kind", "start", "end").distinct()
     return d.filter(F.col("kind").isin(*BASE)).select("key", "kind", "start", "end").unionByName(near)
 
