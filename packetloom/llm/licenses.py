@@ -3,9 +3,10 @@
 All rolling word pairs of a text are joined by hash to the positions of the
 same pair in license phrases and templates. Joined pairs are checked word by
 word, then counted per text, template and diagonal (place in the text less
-place in the template). Diagonals up to ``DRIFT`` apart are merged, so words
-put in or left out do not break a template; a merged diagonal is verified if
-the template's pairs it holds reach ``SHARE`` of all.
+place in the template). Neighbouring diagonals are merged into bands that overlap
+by half, so up to ``DRIFT`` words put in or left out do not break a template. A
+band is verified by its longest chain of pairs that ascends in the text and in
+the template: it is a span if the chain reaches ``SHARE`` of the template's pairs.
 
 A null text is empty. Equal texts share their result, so repeated rows each get
 it. A phrase needs all of its pairs on one diagonal, which is the same as its
@@ -13,12 +14,12 @@ words standing in a row. An empty table gives an empty result. Only the id and
 text columns are read, so other columns cannot clash.
 """
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetloom.llm.common import load, settled
 
-DRIFT = 3
+DRIFT = 8
 SHARE = 0.6
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrases and their labels.
@@ -37,6 +38,12 @@ TEMPLATES = {
     "license as published by the free software foundation",
     "bsd-grant": "redistribution and use in source and binary forms with or without modification are permitted provided that the "
     "following conditions are met",
+    "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+    "provided that the above copyright notice and this permission notice appear in all copies",
+    "mit-warranty": "the software is provided as is without warranty of any kind express or implied including but not limited to the "
+    "warranties of merchantability fitness for a particular purpose and noninfringement",
+    "unlicense": "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use "
+    "compile sell or distribute this software either in source code form or as a compiled binary for any purpose",
     "cc-notice": "this work is licensed under a creative commons attribution 4 0 international license",
     "mpl-notice": "this source code form is subject to the terms of the mozilla public license v 2 0",
 }
@@ -84,18 +91,36 @@ def verified(found: DataFrame) -> DataFrame:
     phrases = found.filter("phrase and size(places) = wanted").groupBy("key").agg(
         F.count(F.lit(1)).alias("n_base"), F.min("diagonal").cast("long").alias("first_word"),
         F.max("diagonal").cast("long").alias("last_word"), F.collect_set("label").alias("base"))
-    w = Window.partitionBy("key", "template").orderBy("diagonal")
-    far = F.col("diagonal") - F.coalesce(F.lag("diagonal").over(w), F.lit(-(10**9))) > DRIFT
-    d = found.filter("not phrase").withColumn("far", far.cast("int"))
-    d = d.withColumn("run", F.sum("far").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    d = d.groupBy("key", "template", "label", "wanted", "run").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("hits"))
-    share = F.col("hits") / F.col("wanted")
-    own = d.groupBy("key").agg(F.max(share).alias("share"), F.collect_set(F.when(share >= SHARE, F.col("label"))).alias("own"))
+    # a diagonal lies in two bands of 2 * DRIFT; a band holds at most so many hits per place of the template
+    band = F.explode(F.transform(F.array(F.lit(0), F.lit(1)), lambda k: F.struct(
+        k.alias("shifted"), F.floor((F.col("diagonal") + k * DRIFT) / (2 * DRIFT)).alias("at"))))
+    hits = F.transform("places", lambda p: F.struct((p + F.col("diagonal")).alias("i"), p.alias("place")))
+    d = found.filter("not phrase").select("key", "template", "label", "wanted", band.alias("band"), hits.alias("hits"))
+    d = d.groupBy("key", "template", "label", "wanted", "band").agg(F.sort_array(F.flatten(F.collect_list("hits"))).alias("hits"))
+    d = d.withColumn("chain", chain(F.col("hits")))
+    share = F.col("chain.n") / F.col("wanted")
+    span = F.struct(F.col("chain.first").alias("start"), (F.col("chain.i") + 2).alias("end"), F.col("label"))
+    own = d.groupBy("key").agg(
+        F.max(share).alias("share"), F.collect_set(F.when(share >= SHARE, F.col("label"))).alias("own"),
+        F.sort_array(F.collect_set(F.when(share >= SHARE, span))).alias("spans"))
     return phrases.join(own, "key", "full_outer")
 
 
+def chain(hits):
+    """Longest chain of sorted hits ``(i, place)`` that ascends in both: ``n``, ``i`` of its last hit and ``first`` of its first."""
+    def grow(done, hit):
+        before = F.filter(done, lambda c: (c["i"] < hit["i"]) & (c["place"] < hit["place"]))
+        best = F.array_max(F.transform(before, lambda c: F.struct(c["n"].alias("n"), (-c["i"]).alias("near"), c["first"].alias("first"))))
+        link = F.struct((F.coalesce(best["n"], F.lit(0)) + 1).alias("n"), hit["i"].alias("i"), hit["place"].alias("place"),
+                        F.coalesce(best["first"], hit["i"]).alias("first"))
+        return F.concat(done, F.array(link))
+
+    none = F.array().cast("array<struct<n:int,i:int,place:int,first:int>>")
+    return F.array_max(F.aggregate(hits, none, grow))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs`` with its license places, labels and score.
+    """One row per row of ``docs`` with its license places, labels, score and template spans (words, end exclusive).
 
     A text without any pair of a license has no part in the join back; the side
     with the results is small and holds a text once.
@@ -111,8 +136,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     score = F.when(F.col("n_base") > 0, 1.0).otherwise(F.least(F.coalesce("share", F.lit(0.0)), F.lit(1.0)))
     return d.select(
         "doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word",
-        joined(base).alias("base_labels"), joined(F.array_union(base, own)).alias("labels"), score.alias("score"))
+        joined(base).alias("base_labels"), joined(F.array_union(base, own)).alias("labels"), score.alias("score"),
+        F.coalesce("spans", F.array().cast("array<struct<start:int,end:int,label:string>>")).alias("spans"))
 
 
 def op7_licenses(spark, folder):
-    return scan(load(spark, folder, "documents"))
+    d = scan(load(spark, folder, "documents"))
+    told = F.transform("spans", lambda s: F.concat_ws(":", s["label"], s["start"].cast("string"), s["end"].cast("string")))
+    return d.withColumn("spans", F.array_join(told, ","))
