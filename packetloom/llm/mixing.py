@@ -2,6 +2,8 @@
 
 Every document gets a uniform number from its id and a seed, and by it a count
 from the Poisson distribution whose mean is the repetition rate of its source.
+A rate above ``PART`` is dealt over equal parts of at most that, each with a
+number of its own; the sum of their counts has the same distribution, exactly.
 It is repeated that often, and the copies are shuffled over all partitions.
 
 A null source is a source of its own. Sources without a weight get none; without
@@ -16,11 +18,14 @@ from pyspark.sql import functions as F
 from packetloom.llm.common import load
 
 SEED = 17
+#: Greatest rate inverted at once: its first term, exp(-rate), is still far above the least double.
+PART = 500
 
 
-def uniform(column, seed):
-    """In (0, 1), from 52 bits of a digest of the seed and the value."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(column.cast("string"), F.lit("null"))))
+def uniform(column, seed, part):
+    """In (0, 1), from 52 bits of a digest of the seed, the value and the number of the part."""
+    of = F.when(part > 1, F.concat(F.lit("/"), part.cast("string"))).otherwise("")
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(column.cast("string"), F.lit("null")), of))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
@@ -40,10 +45,9 @@ def rates(docs: DataFrame, source_col: str = "source", weights: DataFrame | None
 
 
 def poisson(u, rate):
-    """Least count whose cumulated probability is above u.
+    """Least count whose cumulated probability is above u, for a rate of at most ``PART``.
 
-    Terms are added until they no longer change the sum of a double; a rate
-    above 500, where the first term nears zero, takes the normal approximation.
+    Terms are added until they no longer change the sum of a double.
     """
     steps = F.sequence(F.lit(1), F.ceil(rate + 10 * F.sqrt(rate) + 40).cast("int"))
     start = F.struct(F.exp(-rate).alias("term"), F.exp(-rate).alias("sum"), F.lit(0).alias("n"))
@@ -52,10 +56,15 @@ def poisson(u, rate):
         term = a["term"] * rate / k
         return F.struct(term.alias("term"), (a["sum"] + term).alias("sum"), F.when(a["sum"] <= u, k).otherwise(a["n"]).alias("n"))
 
-    small = F.aggregate(steps, start, step)["n"]
-    # inverse of the normal distribution by its logistic approximation
-    large = F.greatest(F.lit(0), F.round(rate + F.sqrt(rate) * F.log(u / (1 - u)) / 1.702)).cast("int")
-    return F.when(rate <= 0, 0).when(rate > 500, large).otherwise(small)
+    return F.aggregate(steps, start, step)["n"]
+
+
+def count(column, rate, seed):
+    """Poisson count of a value: the sum over its parts. Its work is in proportion to the copies."""
+    parts = F.greatest(F.ceil(rate / PART), F.lit(1)).cast("int")
+    numbers = F.transform(F.sequence(F.lit(1), parts), lambda k: uniform(column, seed, k))
+    drawn = F.aggregate(numbers, F.lit(0), lambda n, u: n + poisson(u, rate / parts))
+    return F.when(rate <= 0, 0).otherwise(drawn)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", weights: DataFrame | None = None,
@@ -68,7 +77,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", wei
     rate = rates(docs, source_col, weights, total).select(F.col("source").alias("r_source"), "rate")
     d = docs.select(F.struct("*").alias("doc"))
     d = d.join(rate, F.col(f"doc.`{source_col}`").eqNullSafe(F.col("r_source")))
-    d = d.select("doc", "rate", poisson(uniform(F.col(f"doc.`{id_col}`"), seed), F.col("rate")).alias("copies"))
+    d = d.select("doc", "rate", count(F.col(f"doc.`{id_col}`"), F.col("rate"), seed).alias("copies"))
     d = d.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     d = d.withColumn("shuffle_key", F.xxhash64(F.lit(seed), F.col(f"doc.`{id_col}`"), "copy"))
     # dealt by the key's high part and sorted by the whole of it: a random order
