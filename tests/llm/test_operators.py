@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from packetloom.llm import classifier, jaccard, licenses, mixing, neighbours, quality_rules, secrets, sentencepiece, sharding, substrings
+from packetloom.llm.common import settled
 
 FOLDER = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -148,7 +149,7 @@ def test_jaccard_rest_is_compared_in_full(spark, monkeypatch):
     firsts = [edited(base, rng, 6, k) for k in range(60)]
     texts = [" ".join(x) for x in firsts] + [" ".join(edited(x, rng, 2, f"again{k}")) for k, x in enumerate(firsts)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    sets = jaccard.signatures(docs, "doc_id", "text").withColumn("first_id", F.col("doc_id")).localCheckpoint()
+    sets = settled(jaccard.signatures(docs, "doc_id", "text").withColumn("first_id", F.col("doc_id")), "test-sets")
     rest, none = sets.select(F.lit(1).cast("long").alias("path"), "node", "tokens"), spark.createDataFrame([], "node binary, root binary")
     name = {bytes(r.node): r.doc_id for r in sets.collect()}
     got = {tuple(sorted((name[bytes(r.a)], name[bytes(r.b)]))) for r in jaccard.rest_links(rest, none, docs, sets, "doc_id", "text").collect()}
@@ -161,6 +162,42 @@ def test_jaccard_short_texts_keep_their_order(spark):
     assert list(got.class_id) == [0, 1, 0, 3, 4, 5]
 
 
+def test_jaccard_recall_on_the_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = rows(jaccard.join(docs)).set_index("doc_id")
+    texts = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    # shingles of very many texts start no pair here: pairs that share nothing else are rare, and not counted
+    holders = Counter(x for _, t in texts for x in {tuple(w[k : k + 5]) for w in [words(t)] for k in range(len(w) - 4)})
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or {tuple(w)} for i, t in texts if (w := words(t))}
+    seeds, pairs = defaultdict(list), set()
+    for i, s in sets.items():
+        for x in s:
+            if 1 < holders.get(x, 2) < 200:
+                seeds[x].append(i)
+    for held in seeds.values():
+        pairs.update((a, b) for k, a in enumerate(held) for b in held[k + 1 :])
+    pairs = {(a, b) for a, b in pairs if (n := len(sets[a] & sets[b])) >= 0.8 * (len(sets[a]) + len(sets[b]) - n) - 1e-9}
+    found = sum(got.class_id[a] == got.class_id[b] for a, b in pairs)
+    print("pairs", len(pairs), "in one class", found, "links", int(got.n_links.sum()))
+    assert len(pairs) > 50 and found >= 0.95 * len(pairs)
+
+
+def test_jaccard_recall_estimate(spark):
+    links = spark.createDataFrame([(bytes([k]), b"z", m) for k, m in enumerate([3, 7, 3, 1, 2, 0])], "a binary, b binary, runs bigint")
+    kin = spark.createDataFrame([(bytes([4]), b"y")], "node binary, root binary")
+    # outside kin one link was seen once, two twice, one in three runs, one in no small node
+    assert jaccard.recall(links, kin) == 4 / (4 + 0)
+    assert jaccard.recall(links, kin.limit(0)) == 5 / (5 + 2 * 1 / (2 * 3))
+    assert jaccard.recall(links.limit(0), kin) == 1
+
+
+def test_jaccard_stage_keeps_other_texts_of_an_id(spark):
+    long = " ".join(f"t{i}" for i in range(40))
+    docs = spark.createDataFrame([(5, "one text of six words here"), (5, long), (3, long), (9, "one text of six words here"), (None, long)], "doc_id bigint, text string")
+    kept = sorted((r.doc_id or 0, r.text) for r in jaccard.stage(spark, docs, None).collect())
+    assert kept == [(0, long), (3, long), (5, "one text of six words here")]
+
+
 def test_jaccard_awkward(awkward):
     got = rows(jaccard.join(awkward))
     assert len(got) == 16 and got.doc_id.isna().sum() == got.class_id.isna().sum() == 2
@@ -194,6 +231,33 @@ def test_weak_secrets_need_a_partner(spark):
     assert got == {1: set(), 2: {"assign", "login", "endpoint"}, 3: set(), 4: {"assign"}}
 
 
+def test_parts_are_not_their_own_partners(spark):
+    url, other = "https://Host1.example/abcDEF123ghiJKL456mnop", "https://Host2.example/mnoDEF123ghiJKL456abcd"
+    commit = "https://host.example/commit/0123456789abcdef0123"
+    docs = spark.createDataFrame([(1, f"see {url} now"), (2, f"see {commit} now"), (3, f"{url} or {other}"), (4, f"{url} user_id: alice"),
+                                  (5, f"{url} secret: hidden1")], "doc_id bigint, text string")
+    got = {r.doc_id: [(s["kind"], s["start"], s["end"]) for s in r.spans] for r in secrets.scan(docs).collect()}
+    assert got[1] == got[3] == got[4] == [] and [s[0] for s in got[2]] == ["hex"]
+    assert [s[0] for s in got[5]] == ["endpoint", "short"]
+
+
+def test_links_against_brute_force(spark):
+    rng, kinds = np.random.default_rng(8), secrets.NAMES
+    found, want = [], set()
+    for key in range(40):
+        own = sorted({(kinds[rng.integers(7)], int(s), int(s + rng.integers(3, 60))) for s in rng.integers(0, 1500, 14)})
+        found += [(str(key), *p) for p in own]
+        covers = [p for p in own if p[0] == "endpoint"]
+        parts = [p for p in own if p[0] not in ("hex", "token") or not any(c[1] <= p[1] < c[2] for c in covers)]
+        for p in own:
+            side = p[0] in secrets.SECRET
+            if p[0] in secrets.BASE or p in parts and any(
+                    (q[0] in secrets.SECRET) != side and abs(q[1] - p[1]) <= 200 and (q[2] <= p[1] or q[1] >= p[2]) for q in parts):
+                want.add((str(key), *p))
+    got = secrets.linked(spark.createDataFrame(found, "key string, kind string, start int, end int"))
+    assert {tuple(r) for r in got.select("key", "kind", "start", "end").collect()} == want and 0 < len(want) < len(found)
+
+
 def test_masked_secrets(awkward):
     got = rows(secrets.mask(awkward))
     assert list(got.columns) == awkward.columns and len(got) == 16
@@ -262,6 +326,36 @@ def test_license_template_with_words_put_in(spark):
     assert got.labels == "mit-grant" and got.base_labels == "" and 0.6 <= got.score < 1
 
 
+def test_license_templates_in_another_order(spark):
+    docs = []
+    for k, label in enumerate(("cc-notice", "bsd-grant")):
+        w = licenses.TEMPLATES[label].split()
+        docs += [(2 * k, " ".join(f"{a} {b}" for a, b in reversed(list(zip(w, w[1:]))))), (2 * k + 1, "so " * 7 + " ".join(w) + " so")]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert got[0].labels == got[2].labels == "" and got[0].spans == [] and got[0].score < 0.3
+    assert got[1].labels == "cc-notice" and got[3].labels == "bsd-grant" and got[3].score == 1
+    assert tuple(got[3].spans[0]) == (7, 7 + len(licenses.TEMPLATES["bsd-grant"].split()), "bsd-grant")
+
+
+def test_license_chain_against_brute_force(spark):
+    rng, want, docs = np.random.default_rng(9), {}, []
+    for k in range(60):
+        hits = sorted({(int(a), int(b)) for a, b in rng.integers(0, 9, (rng.integers(1, 12), 2))})
+        best = []
+        for i, p in hits:
+            best.append(1 + max((n for n, (j, q) in zip(best, hits) if j < i and q < p), default=0))
+        want[k] = max(best)
+        docs.append((k, hits))
+    d = spark.createDataFrame(docs, "k int, hits array<struct<i:int,place:int>>")
+    assert {r.k: r.n for r in d.select("k", licenses.chain(F.col("hits"))["n"].alias("n")).collect()} == want
+
+
+@pytest.mark.parametrize("rate", [499.0, 501.0, 3_000.0])
+def test_poisson_at_any_rate(spark, rate):
+    n = rows(spark.range(3_000).select(mixing.count(F.col("id"), F.lit(rate), 1).alias("n"))).n
+    assert abs(n.mean() - rate) < 4 * np.sqrt(rate / 3_000) and abs(n.var() / rate - 1) < 0.11
+
+
 def test_mixing(spark, small):
     got = rows(mixing.mix(small).select("doc.*", "rate", "copies", "copy"))
     assert (got.groupby("doc_id")["copy"].max() == got.groupby("doc_id").copies.first()).all()
