@@ -89,3 +89,17 @@ def test_a_batch_made_again_gives_the_same_frames(tmp_path):
     assert frames(lost, offsets[-1], offsets[-1]) == [] and len(list((tmp_path / "state").rglob("*.json"))) == 2
     (folder / "a.pcap").write_bytes(whole[:150])  # shorter: taken from its start
     assert len(frames(reader, offsets[-1], reader.latestOffset())) == 3
+
+
+def test_small_captures_share_a_task(tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for k in range(40):
+        (folder / f"{k:02}.pcap").write_bytes(capture([bytes([k]) * 20] * 3))
+    reader = CaptureReader(str(folder), str(tmp_path / "state"))
+    end = reader.latestOffset()
+    assert len(reader.partitions({}, end)) == 1
+    assert sorted(f for f in frames(reader, {}, end)) == sorted((n, bytes([k]) * 20) for k in range(40) for n in range(3))
+    assert reader.partitions(end, end) == []
+    large = {f"{k}": {"capture": "x", "size": 3 << 20} for k in range(6)}
+    assert [len(p.grown) for p in reader.partitions({}, large)] == [2, 2, 2]
