@@ -142,3 +142,12 @@ def test_damaged_files_are_set_aside(spark, tmp_path):
         assert set(problems) == set(DAMAGED) and all(DAMAGED[n][2] in text for n, text in problems.items())
     with pytest.raises(ValueError, match="|".join(x[2] for x in DAMAGED.values())):
         captures.read_captures(spark, str(folder))
+
+
+def test_small_files_share_a_task(spark):
+    from packetloom.sources.captures import _tasks
+
+    cores = spark.sparkContext.defaultParallelism
+    blocks = spark.range(1000).selectExpr("0L as lo", "80000L as hi")
+    assert _tasks(blocks) == 2 * cores and _tasks(blocks.limit(3)) == 3 and _tasks(blocks.limit(0)) == 1
+    assert _tasks(blocks.selectExpr("lo", "33554432L as hi")) == 1000
