@@ -33,3 +33,31 @@ def test_only_written_uploads_are_registered(spark, tmp_path):
     text = {r.name: open(r.location).read() for r in got}
     assert text == {"My Set": "a,b\n'=1,2\n", "../up\\x": "a;b\n1;2\n"}
     assert build_catalog(empty) is not None
+
+
+def test_files_are_read_where_their_rows_are(spark, tmp_path):
+    """Those named, byte for byte, in batches; others in the folder are not touched."""
+    from packetloom.sources import binary
+
+    for k in range(5):
+        (tmp_path / f"{k} ü.csv").write_bytes(bytes([k]) * (k * 1000))
+    paths = [(f"{tmp_path}/{k} ü.csv",) for k in (0, 3, 4)]
+    got = binary.read_files(spark.createDataFrame(paths, "path string")).collect()
+    assert {(r.path, bytes(r.content)) for r in got} == {(p, open(p, "rb").read()) for p, in paths}
+
+
+def test_cleaned_files_are_read_back_without_listing_them(spark, tmp_path):
+    """The driver must not hold a list of all files: the query scans no folder of them."""
+    from packetloom.plans.queries import REGISTRY
+
+    schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string"
+    # of the keys, 37 and 31 make files that are refused; the form of 46 has a blank name
+    rows = [(k, 7, "O", "1-URGENT") for k in (44, 46, 58, 58)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/orders.parquet")
+    documents = "doc_id bigint, text string, lang string, source string"
+    spark.createDataFrame([], documents).write.parquet(f"{tmp_path}/documents.parquet")
+    got = REGISTRY["cleaned_files"](spark, str(tmp_path))
+    assert "binaryFile" not in got._jdf.queryExecution().toString()
+    cells = {(r.path, r.row_no, r.cell_no): r.cell for r in got.collect()}
+    assert {p.split("/")[2] for p, _, _ in cells} == {"44", "58"}
+    assert cells["/uploads/44/Order 44.csv", 2, 0] == "44" and cells["/uploads/44/Order 44.csv", 1, 1] == "state"
