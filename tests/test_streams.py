@@ -107,3 +107,15 @@ def test_auto_block_ignores_protocol_and_repeats(spark):
     deny = spark.createDataFrame([("bad",)], "ip string")
     assert auto_block(df, deny, deny.limit(0), "2024-01-01").count() == 1
     assert auto_block(df, deny, deny, "2024-01-01").count() == 0
+
+
+def test_landed_files_grow_in_number_with_the_rows(spark, tmp_path):
+    """So a task reads no more of a larger table; the batches stay three."""
+    from packetloom.plans.queries import _land
+
+    rows = spark.range(70)
+    for file_rows, want in ((100, 1), (10, 3)):
+        folder = tmp_path / str(file_rows)
+        assert _land(rows, str(folder), file_rows=file_rows) == want
+        assert len(list(folder.glob("*.parquet"))) == 3 * want
+        assert sorted(r.id for r in spark.read.parquet(str(folder)).collect()) == list(range(70))
