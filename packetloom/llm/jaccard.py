@@ -19,7 +19,8 @@ to ``DEPTH``; at every level each of their sets is also compared with the two
 members if these are of another class. Candidates that pass
 the tokens' estimate are verified on the whole sets. Nodes still large at
 ``DEPTH`` whose sets are not yet one class are then compared in full, in blocks:
-only pairs that verified links already join are left out.
+only pairs that verified links already join are left out. At last the links
+within each class are counted, every pair of it being judged.
 
 Equal word sequences are one set from the start. A text of one to four words is
 one shingle; null and empty texts have none and are alone. Rows without an id
@@ -391,6 +392,63 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
+def _counts(x, y, nodes_x, nodes_y, rows_y):
+    """Rows that stand for the sets of ``y`` that each set of ``x`` is linked to, itself left out."""
+    words, codes = np.unique(np.concatenate(y), return_inverse=True)
+    size = np.array([len(own) for own in y])
+    first = np.cumsum(size) - size
+    mark, out = np.zeros(len(words), np.int32), []
+    for own, node in zip(x, nodes_x, strict=True):
+        at = np.searchsorted(words, own)
+        at = at[words[np.minimum(at, len(words) - 1)] == own]
+        mark[at] = 1
+        both = np.add.reduceat(mark[codes], first)
+        mark[at] = 0
+        linked = (both >= THRESHOLD * (len(own) + size - both) - 1e-9) & (nodes_y != node)
+        out.append(int(rows_y[linked].sum()))
+    return out
+
+
+def link_counts(root: DataFrame, docs: DataFrame, sets: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``node`` and ``linked``, the rows of all other sets of its class that reach the threshold.
+
+    Every pair of a class is judged on whole shingle sets, whether or not a run
+    has compared it, but no pair becomes a row: a set gets one count a block. A
+    class of more than ``BLOCK`` sets is cut into blocks, each pair of them a group
+    of its own; smaller classes share groups. Two sets alone are linked.
+    """
+    members = sets.select("node", "rows").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("all"))
+    members = settled(members.join(sizes.filter("n > 1"), "root"), "members")
+    two = members.filter("n = 2").select("node", (F.col("all") - F.col("rows")).alias("linked"))
+    more = members.filter("n > 2")
+    total = more.filter(F.col("n") <= BLOCK).count()
+    own = shingle_sets(docs, sets, more.select("node"), id_col, text_col)
+    d = more.join(own, "node").withColumn("of", F.ceil(F.col("n") / BLOCK).cast("int"))
+    lot = F.pmod(F.xxhash64("root"), F.lit(2 * total // BLOCK + 1))
+    alone = d.filter("of = 1").select(
+        F.lit(None).cast("binary").alias("big"), lot.alias("i"), F.lit(0).alias("j"), "root", "node", "rows", "own", F.lit(True).alias("left"), F.lit(True).alias("right"))
+    part, others = F.pmod(F.xxhash64("node"), F.col("of")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("of") - 1))
+    big = d.filter("of > 1").withColumn("part", part).withColumn("other", others)
+    rest = [F.col("root"), F.col("node"), F.col("rows"), F.col("own")]
+    same = F.col("part") == F.col("other")
+    left = big.select(F.col("root").alias("big"), F.col("part").cast("bigint").alias("i"), F.col("other").alias("j"), *rest, F.lit(True).alias("left"), same.alias("right"))
+    right = big.filter(~same).select(F.col("root").alias("big"), F.col("other").cast("bigint").alias("i"), F.col("part").alias("j"), *rest, F.lit(False).alias("left"), F.lit(True).alias("right"))
+
+    def count(group):
+        nodes, linked = [], []
+        for _, one in group.groupby(group.root.map(bytes)):
+            x, y = one[one.left.to_numpy(bool)], one[one.right.to_numpy(bool)]
+            sets_x, sets_y = ([np.frombuffer(o, np.uint32) for o in z.own] for z in (x, y))
+            nodes_x, nodes_y = (np.array([bytes(n) for n in z.node], object) for z in (x, y))
+            nodes += list(nodes_x)
+            linked += _counts(sets_x, sets_y, nodes_x, nodes_y, y.rows.to_numpy()) if len(y) else [0] * len(x)
+        return pd.DataFrame({"node": nodes, "linked": np.array(linked, np.int64)})
+
+    counted = alone.unionByName(left).unionByName(right).groupBy("big", "i", "j").applyInPandas(count, "node binary, linked bigint")
+    return counted.groupBy("node").agg(F.sum("linked").alias("linked")).unionByName(two)
+
+
 def all_links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Links between word sequences, and ``node`` and ``root`` of all that have one."""
     slim = sets.select("node", "tokens")
@@ -417,16 +475,22 @@ def all_links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str) -> t
     return links, root
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``join`` with ``digest`` of the text and ``root``, the class itself; null for rows of no word or id."""
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = True) -> DataFrame:
+    """``join`` with ``digest`` of the text and ``root``, the class itself; null for rows of no word or id.
+
+    Without ``counted``, ``n_links`` counts the links that the runs have verified only.
+    """
     signed = settled(signatures(docs, id_col, text_col), "signatures")
     known = signed.filter("node is not null and doc_id is not null")
     sets = settled(known.groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("rows"), F.first("tokens").alias("tokens")), "sets")
     links, root = all_links(docs, sets, id_col, text_col)
-    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rows = sets.select(F.col("node").alias("b"), F.col("rows").alias("b_rows"))
-    linked = ends.join(rows, "b").groupBy(F.col("a").alias("node")).agg(F.sum("b_rows").alias("linked"))
+    if counted:
+        linked = link_counts(root, docs, sets, id_col, text_col)
+    else:
+        ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        rows = sets.select(F.col("node").alias("b"), F.col("rows").alias("b_rows"))
+        linked = ends.join(rows, "b").groupBy(F.col("a").alias("node")).agg(F.sum("b_rows").alias("linked"))
     d = sets.select("node", "first_id", "rows").join(linked, "node", "left").join(root, "node", "left")
     d = d.withColumn("root", F.coalesce("root", "node"))
     least = d.groupBy("root").agg(F.min("first_id").alias("class_id"))
@@ -444,9 +508,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """One row per document: ``doc_id``, ``class_id`` (least id of its class), ``n_links`` and ``copies``.
 
     ``copies`` counts the other rows of equal words. ``n_links`` counts these and
-    the rows of every other word sequence that a verified link leads to. In a
-    group that fills large nodes these are links to some members that stand for
-    it, not to all.
+    the rows of every other word sequence of the class that reaches the threshold,
+    whether or not a run has compared the two.
     """
     return classes(docs, id_col, text_col).drop("digest", "root")
 
@@ -457,7 +520,7 @@ def stage(spark, docs, folder):
     Rows without an id stay. Of rows that repeat the document one stays; another
     text under the same id is judged by its own class.
     """
-    own = classes(docs).filter("doc_id = class_id")
+    own = classes(docs, counted=False).filter("doc_id = class_id")
     alone = F.when(F.col("root").isNull(), F.col("digest")).alias("alone")
     keep = own.groupBy("class_id", "root", alone).agg(F.min("digest").alias("digest"))
     keep = keep.select(F.col("class_id").alias("kept_id"), "digest").distinct()

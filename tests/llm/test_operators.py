@@ -126,6 +126,20 @@ def test_jaccard_large_group_stays_one_class(spark):
     assert set(got.class_id) == {0} and (got.n_links > 0).all()
 
 
+def test_jaccard_counts_every_link_of_a_large_group(spark, monkeypatch):
+    """Whether its sets fit into one block or not; copies count as rows."""
+    base = [f"t{i}" for i in range(300)]
+    texts = [" ".join(base[:k] + ["new"] + base[k + 1 :]) for k in range(150)]
+    texts += [" ".join(base[: 300 - 12 * k]) for k in range(1, 9)] + texts[:2] + ["a b c d e f", "a b c d e f g"]
+    rows_ = list(enumerate(texts))
+    links = Counter(i for p in near_pairs(rows_) for i in p)
+    docs = spark.createDataFrame(rows_, "doc_id bigint, text string")
+    for block in (jaccard.BLOCK, 64):
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        got = rows(jaccard.join(docs)).set_index("doc_id")
+        assert dict(got.n_links) == {i: links[i] for i in range(len(texts))}
+
+
 def edited(base, rng, n, mark):
     """``base`` with ``n`` words put in place of others, far enough apart to spoil five shingles each."""
     out = list(base)
