@@ -10,17 +10,16 @@ ones are split again. ``RUNS`` runs with fresh hashes are a batch. The recall is
 estimated from the links that one run and two runs have found (Chao's estimator
 of unseen kinds), and batches are repeated until it reaches ``TARGET``.
 
-A group of thousands of near copies would meet in every run. ``OPENING`` first
-runs bring such groups together: in their large nodes each set is compared with
-two members, one drawn, and the one nearest to what a sample of the node has in
-common. What verified links join there is one class, and later a large node of a
-single class is left: it holds nothing to find. Other large nodes are split down
-to ``DEPTH``; at every level each of their sets is also compared with the two
-members if these are of another class. Candidates that pass
-the tokens' estimate are verified on the whole sets. Nodes still large at
-``DEPTH`` whose sets are not yet one class are then compared in full, in blocks:
-only pairs that verified links already join are left out. At last the links
-within each class are counted, every pair of it being judged.
+A group of thousands of near copies would fill large nodes of every run, and
+splitting does not thin it. So a large node is dense if ``DENSE`` of the pairs in
+a sample of it look alike; its sets become one kin and are compared in full, in
+blocks, on whole shingle sets. A dense node whose sets are mostly of one kin adds
+the others to it, and only these are compared with its sets. A node of a single
+kin is left: nothing in it is unknown. ``OPENING`` first runs only look for dense
+nodes. Other large nodes are split down to ``DEPTH``; what is still large there is
+treated as dense. Of a block, links that join its sets are kept. Candidates from
+small nodes that pass the tokens' estimate are verified on the whole sets. At last
+the links within each class are counted, every pair of it being judged.
 
 Equal word sequences are one set from the start. A text of one to four words is
 one shingle; null and empty texts have none and are alone. Rows without an id
@@ -47,14 +46,14 @@ COORDS = 64
 RUNS = 12
 #: Batches of runs end at this estimated recall, or with the bits of a pair's run mask.
 TARGET, BATCHES = 0.95, 5
-#: Runs that only look for groups that fill large nodes.
+#: Runs that only look for dense nodes.
 OPENING = 4
 DEPTH = 4
 #: Nodes of at most so many sets are compared in full.
 BRUTE = 48
-#: Members of a large node that tell what it has in common, about.
-SAMPLE = 64
-#: Sets on a side of a block of what stays large.
+#: Members of a large node that tell how dense it is, about, and the share of their pairs that look alike in a dense one.
+SAMPLE, DENSE = 64, 0.2
+#: Sets on a side of a block of what is compared in full.
 BLOCK = 1024
 #: The estimate of a pair to be verified is three standard deviations below the threshold at least.
 SLACK = 0.15
@@ -172,105 +171,85 @@ def compared(small: DataFrame) -> DataFrame:
     return gathered.select("run", "sets").mapInPandas(pairs, "a binary, b binary, run int")
 
 
-def drawn(large: DataFrame) -> DataFrame:
-    """Each set of a large node with those of two members that are of another class.
+def unknown(large: DataFrame, kin: DataFrame) -> DataFrame:
+    """Rows of large nodes whose sets are not all of one kin. ``kin`` has ``node`` and ``kin``, maybe several of a set."""
+    most = large.join(kin, "node").groupBy("path", "kin").count().groupBy("path").agg(F.max("count").alias("most"))
+    return large.join(most, "path", "left").filter("most is null or most < count").drop("most")
 
-    One is drawn by a hash, one is the most typical. ``large`` has ``path``,
-    ``node``, ``tokens``, ``count`` and ``kin``, the class. The typical one
-    has most of the tokens that are the commonest in a sample of the node: of an
-    original and its edited copies it is the original.
-    """
-    lot = F.xxhash64("path", "node")
+
+def dense(large: DataFrame) -> DataFrame:
+    """``path`` of the large nodes in which ``DENSE`` of the pairs of a sample look alike."""
     sample = large.filter(F.pmod(F.xxhash64("node", "path"), "count") < SAMPLE)
     sample = sample.groupBy("path").agg(F.collect_list("tokens").alias("some"))
 
-    def common(batches):
+    def judge(batches):
         for batch in batches:
             got = []
             for some in batch.some:
-                t = np.sort(np.frombuffer(b"".join(map(bytes, some)), np.uint32).reshape(-1, COORDS), 0)
-                got.append(np.array([_mode(c) for c in t.T], np.uint32).tobytes())
-            yield pd.DataFrame({"path": batch.path, "common": got})
-
-    def share(batches):
-        for batch in batches:
-            if len(batch):
-                t = np.frombuffer(b"".join(map(bytes, batch.tokens)), np.uint32).reshape(-1, COORDS)
-                c = np.frombuffer(b"".join(map(bytes, batch.common)), np.uint32).reshape(-1, COORDS)
-                yield batch[["path", "node", "tokens", "kin"]].assign(shared=(t == c).sum(1))
-
-    profile = sample.mapInPandas(common, "path bigint, common binary")
-    typical = large.select("path", "node", "tokens", "kin").join(profile, "path")
-    typical = typical.mapInPandas(share, "path bigint, node binary, tokens binary, kin binary, shared int")
-    typical = typical.groupBy("path").agg(F.max(F.struct("shared", "node", "tokens", "kin")).alias("p"))
-    pivot = large.groupBy("path").agg(F.min(F.struct(lot.alias("lot"), "node", "tokens", "kin")).alias("p"))
-    pivot = pivot.select("path", "p.*").drop("lot").unionByName(typical.select("path", "p.*").drop("shared")).distinct()
-    pivot = pivot.select("path", F.col("node").alias("b"), F.col("tokens").alias("pivot"), F.col("kin").alias("b_kin"))
-    # a set without links is its own class, so a pivot never meets itself
-    met = large.join(pivot, "path").filter("kin <> b_kin")
-
-    def near(batches):
-        for batch in batches:
-            if len(batch):
-                t = np.frombuffer(b"".join(map(bytes, batch.tokens)), np.uint32).reshape(-1, COORDS)
-                p = np.frombuffer(b"".join(map(bytes, batch["pivot"])), np.uint32).reshape(-1, COORDS)
-                yield batch.loc[_alike(t, p), ["a", "b"]]
+                t = np.frombuffer(b"".join(map(bytes, some)), np.uint32).reshape(-1, COORDS)
+                alike = sum(int(_alike(t[i], t[i + 1 :]).sum()) for i in range(len(t) - 1))
+                got.append(alike >= DENSE * len(t) * (len(t) - 1) / 2)
+            yield batch.loc[np.array(got, bool), ["path"]]
 
-    met = met.select(F.col("node").alias("a"), "b", "tokens", "pivot").mapInPandas(near, "a binary, b binary")
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
-
-def _mode(column: np.ndarray):
-    """The commonest value of a sorted column."""
-    first = np.flatnonzero(np.append(True, column[1:] != column[:-1]))
-    return column[first[np.argmax(np.diff(np.append(first, len(column))))]]
+    return sample.mapInPandas(judge, "path bigint")
 
 
 def opened(sets: DataFrame) -> DataFrame:
-    """Pairs of sets and members of the large nodes that the opening runs bring up."""
+    """``path``, ``node`` and ``count`` of the sets of dense nodes that the opening runs bring up."""
     level = settled(split(sets, 0).select("path", "node"), "paths-0")
     sizes = level.groupBy("path").count().filter(F.col("count") > BRUTE)
-    large = settled(level.join(sizes, "path").join(sets, "node").withColumn("kin", F.col("node")), "nodes-0")
-    return drawn(large).distinct().withColumn("runs", F.lit(0).cast("bigint"))
+    large = settled(level.join(sizes, "path").join(sets, "node"), "nodes-0")
+    return settled(large.join(dense(large), "path", "left_semi").select("path", "node", "count"), "dense-0")
 
 
-def candidates(sets: DataFrame, kin: DataFrame, batch: int) -> tuple[DataFrame, DataFrame | None]:
-    """Distinct pairs that some node of a run of a batch brings together and that look alike; nodes still large at ``DEPTH``.
+def candidates(sets: DataFrame, kin: DataFrame, batch: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs that some small node of a run of a batch brings together and that look alike; rows of nodes to be compared in full.
 
-    ``runs`` of a pair has a bit for each run whose small nodes hold it. ``kin``
-    has ``node`` and ``root`` of sets known to be linked. Paths are counted
-    without tokens first: nearly all nodes hold a single set, and only those of
-    two or more are joined with tokens.
+    ``runs`` of a pair has a bit for each run whose small nodes hold it. Paths are
+    counted without tokens first: nearly all nodes hold a single set, and only
+    those of two or more are joined with tokens.
     """
-    found, level, rest = [], split(sets, batch), None
+    found, full, level = [], [], split(sets, batch)
     bit = F.expr(f"shiftleft(cast(1 as bigint), run + {(batch - 1) * RUNS})")
     for depth in range(1, DEPTH + 1):
         level = settled(level.select("path", "run", "node"), f"paths-{batch}-{depth}")
         sizes = level.groupBy("path").count().filter("count > 1")
-        joined = level.join(sizes, "path").join(sets, "node").join(kin, "node", "left")
-        joined = joined.withColumn("kin", F.coalesce("root", "node"))
-        joined = settled(joined.select("path", "run", "node", "tokens", "count", "kin"), f"nodes-{batch}-{depth}")
-        small, large = joined.filter(F.col("count") <= BRUTE), joined.filter(F.col("count") > BRUTE)
-        several = large.groupBy("path").agg((F.min("kin") < F.max("kin")).alias("several")).filter("several")
-        large = large.join(several.select("path"), "path", "left_semi")
+        joined = settled(level.join(sizes, "path").join(sets, "node").select("path", "run", "node", "tokens", "count"), f"nodes-{batch}-{depth}")
         # written at once: the plan of all levels together would fill the driver
-        pairs = compared(small).select("a", "b", bit.alias("runs"))
-        pairs = pairs.unionByName(drawn(large).withColumn("runs", F.lit(0).cast("bigint")))
+        pairs = compared(joined.filter(F.col("count") <= BRUTE)).select("a", "b", bit.alias("runs"))
         found.append(settled(pairs.groupBy("a", "b").agg(F.bit_or("runs").alias("runs")), f"pairs-{batch}-{depth}"))
-        if large.isEmpty():
-            break
+        large = settled(unknown(joined.filter(F.col("count") > BRUTE), kin), f"large-{batch}-{depth}")
         if depth == DEPTH:
-            rest = large
+            full.append(large.select("path", "node", "count"))
         else:
-            level = split(large)
-    return reduce(DataFrame.unionByName, found).groupBy("a", "b").agg(F.bit_or("runs").alias("runs")), rest
+            close = settled(dense(large), f"dense-{batch}-{depth}")
+            full.append(large.join(close, "path", "left_semi").select("path", "node", "count"))
+            large = large.join(close, "path", "left_anti")
+            if large.isEmpty():
+                break
+            level = split(large.select("path", "run", "node", "tokens"))
+    pairs = reduce(DataFrame.unionByName, found).groupBy("a", "b").agg(F.bit_or("runs").alias("runs"))
+    return pairs, settled(reduce(DataFrame.unionByName, full), f"full-{batch}")
+
+
+def newcomers(full: DataFrame, kin: DataFrame) -> DataFrame:
+    """``node`` and ``kin`` to be added so that all sets of each node to be compared in full are of one kin.
+
+    It is the one most of the node's sets are of; a set without any stands for
+    the largest of its nodes. If that is less than half, the node is a kin of its own.
+    """
+    largest = full.groupBy("node").agg(F.max(F.struct("count", "path")).alias("m")).join(kin, "node", "left_anti")
+    votes = full.join(kin.unionByName(largest.select("node", F.col("m.path").alias("kin"))), "node").groupBy("path", "kin").agg(F.count(F.lit(1)).alias("n"))
+    head = votes.groupBy("path").agg(F.max(F.struct("n", "kin")).alias("m")).select("path", "m.*")
+    named = full.join(head, "path").withColumn("kin", F.when(2 * F.col("n") >= F.col("count"), F.col("kin")).otherwise(F.col("path")))
+    return named.select("node", "kin").distinct().join(kin, ["node", "kin"], "left_anti")
 
 
 def recall(links: DataFrame, kin: DataFrame) -> float:
     """Estimated share of links found, from the links seen by one and by two runs.
 
-    Links of sets that the opening has put into a class are left out: their
-    nodes are not compared in every run. Without a link it is 1.
+    Links of sets that are of a kin are left out: their nodes are not compared
+    in every run. Without a link it is 1.
     """
     n = F.bit_count("runs")
     one, two, seen = links.join(kin.select(F.col("node").alias("a")), "a", "left_anti").agg(
@@ -319,26 +298,49 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, id_col: str, te
     return d.select("a", "b", "runs", "x", "y").mapInPandas(judge, "a binary, b binary, runs bigint")
 
 
+def _near(x: list, y: list):
+    """Index of a set of ``x``, first of a piece of ``y``, and which sets of the piece reach the threshold with it.
+
+    Pieces are of about a million hashes, so memory stays bounded beside the sets.
+    """
+    size = np.array([len(own) for own in y])
+    piece = (np.cumsum(size) - size) >> 20
+    for k in np.unique(piece):
+        a, b = np.searchsorted(piece, [k, k + 1])
+        words, codes = np.unique(np.concatenate(y[a:b]), return_inverse=True)
+        first = np.cumsum(size[a:b]) - size[a:b]
+        mark = np.zeros(len(words), np.int32)
+        for i, own in enumerate(x):
+            at = np.searchsorted(words, own)
+            at = at[words[np.minimum(at, len(words) - 1)] == own]
+            mark[at] = 1
+            both = np.add.reduceat(mark[codes], first)
+            mark[at] = 0
+            yield i, a, both >= THRESHOLD * (len(own) + size[a:b] - both) - 1e-9
+
+
 def rest_links(rest: DataFrame, root: DataFrame, docs: DataFrame, sets: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
-    """Links that join the classes within nodes that stayed large; None if each node is one class.
+    """Links that join the sets within each path; None if each path has one root.
 
-    In a node, all sets outside its largest class meet all its sets, in blocks of
-    ``BLOCK`` by ``BLOCK``, each a group of its own. A pair is left out only if
-    links join it already. At most one link a set comes out of a block, so the
-    rows written do not grow with the pairs.
+    Sets of one root (``root`` has ``node``, ``root`` and maybe ``path``) have met.
+    In a path, all sets outside its largest root meet all its sets, in blocks of
+    ``BLOCK`` by ``BLOCK``, each a group of its own. A link is left out only if
+    others of the block join its sets already. At most one link a set comes out
+    of a block, so the rows written do not grow with the pairs.
     """
-    d = rest.select("path", "node", "tokens").join(root, "node", "left").withColumn("kin", F.coalesce("root", "node")).drop("root")
-    kin = d.groupBy("path", "kin").agg(F.count(F.lit(1)).alias("n"))
-    kin = kin.groupBy("path").agg(F.max(F.struct("n", "kin")).alias("main"), F.count(F.lit(1)).alias("kins"), F.sum("n").alias("n"))
-    mixed_nodes = kin.filter("kins > 1").select("path", F.col("main.kin").alias("main"), "n", (F.col("n") - F.col("main.n")).alias("n_out"))
-    d = settled(d.join(mixed_nodes, "path").withColumn("out", F.col("kin") != F.col("main")).drop("main"), "rest")
+    d = rest.select("path", "node").join(root, [c for c in ("path", "node") if c in root.columns], "left")
+    d = d.withColumn("root", F.coalesce("root", "node"))
+    sizes = d.groupBy("path", "root").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("path").agg(F.max(F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots"), F.sum("n").alias("n"))
+    several = sizes.filter("roots > 1").select("path", F.col("main.root").alias("main"), "n", (F.col("n") - F.col("main.n")).alias("n_out"))
+    d = settled(d.join(several, "path").withColumn("out", F.col("root") != F.col("main")).drop("root", "main"), "rest")
     if d.isEmpty():
         return None
     d = d.join(shingle_sets(docs, sets, d.select("node").distinct(), id_col, text_col), "node")
     rows, columns = (F.ceil(F.col(n) / BLOCK).cast("int") for n in ("n_out", "n"))
     at = F.xxhash64("node", "path")
     up_to = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    slim = ["path", "node", "tokens", "kin", "out", "own"]
+    slim = ["path", "node", "out", "own"]
     left = d.filter("out").select(*slim, F.lit(True).alias("left"), F.pmod(at, rows).cast("int").alias("i"), up_to(columns).alias("j"))
     right = d.select(*slim, F.lit(False).alias("left"), up_to(rows).alias("i"), F.pmod(at, columns).cast("int").alias("j"))
 
@@ -346,21 +348,18 @@ def rest_links(rest: DataFrame, root: DataFrame, docs: DataFrame, sets: DataFram
         x, y = block[block["left"]], block[~block["left"]]
         if not len(x) or not len(y):
             return pd.DataFrame({"a": [], "b": []})
-        tx, ty = (np.frombuffer(b"".join(map(bytes, z.tokens)), np.uint32).reshape(-1, COORDS) for z in (x, y))
-        names = {}
-        kx, ky = (np.array([names.setdefault(bytes(k), len(names)) for k in z.kin]) for z in (x, y))
         nx, ny = ([bytes(n) for n in z.node] for z in (x, y))
-        ox, oy, out = x.own.to_list(), y.own.to_list(), y.out.to_numpy(bool)
-        common = np.array([_mode(c) for c in np.sort(ty, 0).T], np.uint32)
-        links = []
-        # the most typical first: what it links needs no further comparison
-        for i in np.argsort(-(tx == common).sum(1), kind="stable"):
-            for j in np.flatnonzero(_alike(tx[i], ty) & (ky != kx[i])):
-                # two sets outside the largest class meet twice
-                if kx[i] != ky[j] and (not out[j] or nx[i] < ny[j]) and _linked(ox[i], oy[j]):
-                    links.append((min(nx[i], ny[j]), max(nx[i], ny[j])))
-                    old, new = ky[j], kx[i]
-                    kx[kx == old], ky[ky == old] = new, new
+        names = {n: k for k, n in enumerate(dict.fromkeys(nx + ny))}
+        ix, iy = (np.array([names[n] for n in z]) for z in (nx, ny))
+        group, later, links = np.arange(len(names)), ~y.out.to_numpy(bool), []
+        rank = np.argsort(np.argsort(np.array(list(names), object)))
+        for i, first, near in _near(*([np.frombuffer(o, np.uint32) for o in z.own] for z in (x, y))):
+            js = iy[first : first + len(near)]
+            # two sets outside the largest root meet twice
+            for j in js[near & (group[js] != group[ix[i]]) & (later[first : first + len(near)] | (rank[ix[i]] < rank[js]))]:
+                if group[j] != group[ix[i]]:
+                    links.append(tuple(sorted((nx[i], ny[first + int(np.flatnonzero(js == j)[0])]))))
+                    group[group == group[j]] = group[ix[i]]
         return pd.DataFrame(links, columns=["a", "b"])
 
     return left.unionByName(right).groupBy("path", "i", "j").applyInPandas(meet, "a binary, b binary").distinct()
@@ -394,18 +393,10 @@ def components(links: DataFrame) -> DataFrame:
 
 def _counts(x, y, nodes_x, nodes_y, rows_y):
     """Rows that stand for the sets of ``y`` that each set of ``x`` is linked to, itself left out."""
-    words, codes = np.unique(np.concatenate(y), return_inverse=True)
-    size = np.array([len(own) for own in y])
-    first = np.cumsum(size) - size
-    mark, out = np.zeros(len(words), np.int32), []
-    for own, node in zip(x, nodes_x, strict=True):
-        at = np.searchsorted(words, own)
-        at = at[words[np.minimum(at, len(words) - 1)] == own]
-        mark[at] = 1
-        both = np.add.reduceat(mark[codes], first)
-        mark[at] = 0
-        linked = (both >= THRESHOLD * (len(own) + size - both) - 1e-9) & (nodes_y != node)
-        out.append(int(rows_y[linked].sum()))
+    out = [0] * len(x)
+    for i, a, near in _near(x, y):
+        b = a + len(near)
+        out[i] += int(rows_y[a:b][near & (nodes_y[a:b] != nodes_x[i])].sum())
     return out
 
 
@@ -451,28 +442,38 @@ def link_counts(root: DataFrame, docs: DataFrame, sets: DataFrame, id_col: str,
 
 def all_links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Links between word sequences, and ``node`` and ``root`` of all that have one."""
-    slim = sets.select("node", "tokens")
-    opening = settled(verified(docs, sets, settled(opened(slim), "pairs-0"), id_col, text_col), "links-0")
-    kin = components(opening.select("a", "b"))
-    links, rests = opening, []
-    for batch in range(1, BATCHES + 1):
-        pairs, rest = candidates(slim, kin, batch)
-        # pairs that earlier batches verified only add their runs
-        links = links.unionByName(verified(docs, sets, pairs, id_col, text_col))
+    slim, spark = sets.select("node", "tokens"), docs.sparkSession
+    kin = spark.createDataFrame([], "node binary, kin bigint")
+    links = spark.createDataFrame([], "a binary, b binary, runs bigint")
+
+    def gathered(full, batch):
+        """Links within the sets to be compared in full, and the kin with them."""
+        new = settled(newcomers(full, kin), f"new-{batch}")
+        met = kin.join(new.select("kin").distinct(), "kin", "left_semi").select("node", "kin")
+        everyone = met.unionByName(new).select(F.col("kin").alias("path"), "node")
+        # the sets that were of a kin before have met
+        before = met.select("node", F.col("kin").alias("path"), F.col("kin").cast("string").cast("binary").alias("root"))
+        more = rest_links(everyone, before, docs, sets, id_col, text_col)
+        return more, settled(kin.unionByName(new), f"kin-{batch}")
+
+    for batch in range(BATCHES + 1):
+        if batch:
+            pairs, full = candidates(slim, kin, batch)
+            # pairs that earlier batches verified only add their runs
+            links = links.unionByName(verified(docs, sets, pairs, id_col, text_col))
+        else:
+            full = opened(slim)
+        if not full.isEmpty():
+            more, kin = gathered(full, batch)
+            if more is not None:
+                links = links.unionByName(more.withColumn("runs", F.lit(0).cast("bigint")))
         links = settled(links.groupBy("a", "b").agg(F.bit_or("runs").alias("runs")), f"links-{batch}")
-        rests += [rest] if rest is not None else []
-        if (found := recall(links, kin)) >= TARGET:
+        if batch and (found := recall(links, kin)) >= TARGET:
             break
     else:
         warnings.warn(f"estimated recall of the links is {found:.3f} after {BATCHES * RUNS} runs", stacklevel=2)
     links = links.select("a", "b")
-    root = components(links)
-    more = rest_links(reduce(DataFrame.unionByName, rests), root, docs, sets, id_col, text_col) if rests else None
-    if more is not None:
-        more = settled(more, "rest-links")
-        links = links.unionByName(more).distinct()
-        root = components(more.unionByName(root.select(F.col("root").alias("a"), F.col("node").alias("b"))))
-    return links, root
+    return links, components(links)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = True) -> DataFrame:

@@ -170,6 +170,45 @@ def test_jaccard_rest_is_compared_in_full(spark, monkeypatch):
     assert got == near_pairs(list(enumerate(texts))) == {(k, k + 60) for k in range(60)}
 
 
+def test_jaccard_unlinked_group_is_compared_once(spark, monkeypatch):
+    """A group that no links make one class is met in full by the opening; the runs add only sets that it has missed."""
+    monkeypatch.setattr(jaccard, "BLOCK", 100)
+    base, rng, added = [f"t{i}" for i in range(300)], np.random.default_rng(6), []
+    texts = [" ".join(edited(base, rng, 9, k)) for k in range(240)]
+    texts += [" ".join(edited(t.split(" "), rng, 1, f"again{k}")) for k, t in enumerate(texts[:20])]
+    newcomers = jaccard.newcomers
+
+    def watched(*args):
+        new = newcomers(*args)
+        added.append(new.count())
+        return new
+
+    monkeypatch.setattr(jaccard, "newcomers", watched)
+    got = rows(jaccard.join(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))).set_index("doc_id")
+    pairs = near_pairs(list(enumerate(texts)))
+    links = Counter(i for p in pairs for i in p)
+    assert {(k, k + 240) for k in range(20)} <= pairs and len(set(got.class_id)) > 100
+    assert dict(got.n_links) == {i: links[i] for i in range(len(texts))}
+    assert 200 < sum(added) <= 2 * len(texts)
+
+
+def test_jaccard_sets_are_judged_in_pieces():
+    x = [np.arange(0, 600_000, dtype=np.uint32), np.arange(7, dtype=np.uint32)]
+    y = [np.arange(n, dtype=np.uint32) for n in (6, 590_000, 500_000, 470_000, 7)]
+    near = {(i, a + int(j)) for i, a, found in jaccard._near(x, y) for j in np.flatnonzero(found)}
+    assert near == {(0, 1), (0, 2), (1, 0), (1, 4)}
+
+
+def test_jaccard_newcomers_join_the_kin_of_most(spark):
+    schema, kin = "path bigint, node binary, count bigint", "node binary, kin bigint"
+    node = lambda k: bytes([k])
+    full = [(1, node(k), 6) for k in range(6)] + [(2, node(k), 3) for k in (4, 5, 6)] + [(3, node(k), 3) for k in (7, 8, 9)]
+    new = lambda known: {(r.node[0], r.kin) for r in jaccard.newcomers(spark.createDataFrame(full, schema), spark.createDataFrame(known, kin)).collect()}
+    # node 2 joins that of 4 and 5; of a node whose sets are known to be of three kins, none has half
+    assert new([]) == {(k, 1) for k in range(7)} | {(k, 3) for k in (7, 8, 9)}
+    assert new([(node(k), 9) for k in range(4)]) == {(k, 9) for k in (4, 5)} | {(k, 1) for k in (4, 5, 6)} | {(k, 3) for k in (7, 8, 9)}
+
+
 def test_jaccard_short_texts_keep_their_order(spark):
     texts = ["a b c", "c b a", "a  b c", "a b", "b a", "a"]
     got = rows(jaccard.join(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))).sort_values("doc_id")
