@@ -30,14 +30,14 @@ text columns are read, so other columns cannot clash.
 
 import hashlib
 import warnings
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import load, mixed, pieces, prepare, rolled, settled, word_hashes
+from packetloom.llm.common import file_limit, load, mixed, pieces, prepare, rolled, settled, word_hashes
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -194,15 +194,15 @@ def dense(large: DataFrame) -> DataFrame:
     return sample.mapInPandas(judge, "path bigint")
 
 
-def opened(sets: DataFrame) -> DataFrame:
+def opened(sets: DataFrame, keep=settled) -> DataFrame:
     """``path``, ``node`` and ``count`` of the sets of dense nodes that the opening runs bring up."""
-    level = settled(split(sets, 0).select("path", "node"), "paths-0")
+    level = keep(split(sets, 0).select("path", "node"), "paths-0")
     sizes = level.groupBy("path").count().filter(F.col("count") > BRUTE)
-    large = settled(level.join(sizes, "path").join(sets, "node"), "nodes-0")
-    return settled(large.join(dense(large), "path", "left_semi").select("path", "node", "count"), "dense-0")
+    large = keep(level.join(sizes, "path").join(sets, "node"), "nodes-0")
+    return keep(large.join(dense(large), "path", "left_semi").select("path", "node", "count"), "dense-0")
 
 
-def candidates(sets: DataFrame, kin: DataFrame, batch: int) -> tuple[DataFrame, DataFrame]:
+def candidates(sets: DataFrame, kin: DataFrame, batch: int, keep=settled) -> tuple[DataFrame, DataFrame]:
     """Distinct pairs that some small node of a run of a batch brings together and that look alike; rows of nodes to be compared in full.
 
     ``runs`` of a pair has a bit for each run whose small nodes hold it. Paths are
@@ -212,24 +212,24 @@ def candidates(sets: DataFrame, kin: DataFrame, batch: int) -> tuple[DataFrame,
     found, full, level = [], [], split(sets, batch)
     bit = F.expr(f"shiftleft(cast(1 as bigint), run + {(batch - 1) * RUNS})")
     for depth in range(1, DEPTH + 1):
-        level = settled(level.select("path", "run", "node"), f"paths-{batch}-{depth}")
+        level = keep(level.select("path", "run", "node"), f"paths-{batch}-{depth}")
         sizes = level.groupBy("path").count().filter("count > 1")
-        joined = settled(level.join(sizes, "path").join(sets, "node").select("path", "run", "node", "tokens", "count"), f"nodes-{batch}-{depth}")
+        joined = keep(level.join(sizes, "path").join(sets, "node").select("path", "run", "node", "tokens", "count"), f"nodes-{batch}-{depth}")
         # written at once: the plan of all levels together would fill the driver
         pairs = compared(joined.filter(F.col("count") <= BRUTE)).select("a", "b", bit.alias("runs"))
-        found.append(settled(pairs.groupBy("a", "b").agg(F.bit_or("runs").alias("runs")), f"pairs-{batch}-{depth}"))
-        large = settled(unknown(joined.filter(F.col("count") > BRUTE), kin), f"large-{batch}-{depth}")
+        found.append(keep(pairs.groupBy("a", "b").agg(F.bit_or("runs").alias("runs")), f"pairs-{batch}-{depth}"))
+        large = keep(unknown(joined.filter(F.col("count") > BRUTE), kin), f"large-{batch}-{depth}")
         if depth == DEPTH:
             full.append(large.select("path", "node", "count"))
         else:
-            close = settled(dense(large), f"dense-{batch}-{depth}")
+            close = keep(dense(large), f"dense-{batch}-{depth}")
             full.append(large.join(close, "path", "left_semi").select("path", "node", "count"))
             large = large.join(close, "path", "left_anti")
             if large.isEmpty():
                 break
             level = split(large.select("path", "run", "node", "tokens"))
     pairs = reduce(DataFrame.unionByName, found).groupBy("a", "b").agg(F.bit_or("runs").alias("runs"))
-    return pairs, settled(reduce(DataFrame.unionByName, full), f"full-{batch}")
+    return pairs, keep(reduce(DataFrame.unionByName, full), f"full-{batch}")
 
 
 def newcomers(full: DataFrame, kin: DataFrame) -> DataFrame:
@@ -257,7 +257,7 @@ def recall(links: DataFrame, kin: DataFrame) -> float:
     return seen / (seen + one * (one - 1) / (2 * (two + 1))) if seen else 1.0
 
 
-def shingle_sets(docs: DataFrame, sets: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def shingle_sets(docs: DataFrame, sets: DataFrame, nodes: DataFrame, id_col: str, text_col: str, keep=settled) -> DataFrame:
     """``node`` and ``own``, its whole shingle set as 32-bit hashes.
 
     Texts of the documents that stand for the sets in question are read again.
@@ -273,7 +273,7 @@ def shingle_sets(docs: DataFrame, sets: DataFrame, nodes: DataFrame, id_col: str
                 # an id may stand on several rows; only the text of the set counts
                 yield out[[n is not None and n == bytes(w) for n, w in zip(out.node, part.wanted, strict=True)]]
 
-    return settled(texts.mapInPandas(shingle, "node binary, own binary").dropDuplicates(["node"]), "shingle-sets")
+    return keep(texts.mapInPandas(shingle, "node binary, own binary").dropDuplicates(["node"]), "shingle-sets")
 
 
 def _linked(x: bytes, y: bytes) -> bool:
@@ -284,10 +284,10 @@ def _linked(x: bytes, y: bytes) -> bool:
     return both >= THRESHOLD * (len(x) + len(y) - both) - 1e-9
 
 
-def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, id_col: str, text_col: str, keep=settled) -> DataFrame:
     """Pairs whose whole shingle sets reach the threshold."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    own = shingle_sets(docs, sets, nodes, id_col, text_col)
+    own = shingle_sets(docs, sets, nodes, id_col, text_col, keep)
 
     def judge(batches):
         for batch in batches:
@@ -319,7 +319,7 @@ def _near(x: list, y: list):
             yield i, a, both >= THRESHOLD * (len(own) + size[a:b] - both) - 1e-9
 
 
-def rest_links(rest: DataFrame, root: DataFrame, docs: DataFrame, sets: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
+def rest_links(rest: DataFrame, root: DataFrame, docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, keep=settled) -> DataFrame | None:
     """Links that join the sets within each path; None if each path has one root.
 
     Sets of one root (``root`` has ``node``, ``root`` and maybe ``path``) have met.
@@ -333,10 +333,10 @@ def rest_links(rest: DataFrame, root: DataFrame, docs: DataFrame, sets: DataFram
     sizes = d.groupBy("path", "root").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.groupBy("path").agg(F.max(F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots"), F.sum("n").alias("n"))
     several = sizes.filter("roots > 1").select("path", F.col("main.root").alias("main"), "n", (F.col("n") - F.col("main.n")).alias("n_out"))
-    d = settled(d.join(several, "path").withColumn("out", F.col("root") != F.col("main")).drop("root", "main"), "rest")
+    d = keep(d.join(several, "path").withColumn("out", F.col("root") != F.col("main")).drop("root", "main"), "rest")
     if d.isEmpty():
         return None
-    d = d.join(shingle_sets(docs, sets, d.select("node").distinct(), id_col, text_col), "node")
+    d = d.join(shingle_sets(docs, sets, d.select("node").distinct(), id_col, text_col, keep), "node")
     rows, columns = (F.ceil(F.col(n) / BLOCK).cast("int") for n in ("n_out", "n"))
     at = F.xxhash64("node", "path")
     up_to = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
@@ -365,14 +365,14 @@ def rest_links(rest: DataFrame, root: DataFrame, docs: DataFrame, sets: DataFram
     return left.unionByName(right).groupBy("path", "i", "j").applyInPandas(meet, "a binary, b binary").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, keep=settled) -> DataFrame:
     """``node`` and ``root`` (the least node) of each linked set.
 
     Large-star and small-star steps in turn; each keeps what is connected and
     halves the way to the root, so few are needed. Every step is written to the
     shared folder.
     """
-    edges, before = settled(links.distinct(), "edges-0"), None
+    edges, before = keep(links.distinct(), "edges-0"), None
     for step in range(1, 60):
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
@@ -381,7 +381,7 @@ def components(links: DataFrame) -> DataFrame:
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").select(F.col("m").alias("a"), "v").filter("a <> v").select("a", F.col("v").alias("b"))
         small = small.union(least.select(F.col("m").alias("a"), F.col("u").alias("b"))).distinct()
-        edges = settled(small.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"edges-{step}")
+        edges = keep(small.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"edges-{step}")
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             break
@@ -400,7 +400,7 @@ def _counts(x, y, nodes_x, nodes_y, rows_y):
     return out
 
 
-def link_counts(root: DataFrame, docs: DataFrame, sets: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def link_counts(root: DataFrame, docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, keep=settled) -> DataFrame:
     """``node`` and ``linked``, the rows of all other sets of its class that reach the threshold.
 
     Every pair of a class is judged on whole shingle sets, whether or not a run
@@ -410,11 +410,11 @@ def link_counts(root: DataFrame, docs: DataFrame, sets: DataFrame, id_col: str,
     """
     members = sets.select("node", "rows").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("all"))
-    members = settled(members.join(sizes.filter("n > 1"), "root"), "members")
+    members = keep(members.join(sizes.filter("n > 1"), "root"), "members")
     two = members.filter("n = 2").select("node", (F.col("all") - F.col("rows")).alias("linked"))
     more = members.filter("n > 2")
     total = more.filter(F.col("n") <= BLOCK).count()
-    own = shingle_sets(docs, sets, more.select("node"), id_col, text_col)
+    own = shingle_sets(docs, sets, more.select("node"), id_col, text_col, keep)
     d = more.join(own, "node").withColumn("of", F.ceil(F.col("n") / BLOCK).cast("int"))
     lot = F.pmod(F.xxhash64("root"), F.lit(2 * total // BLOCK + 1))
     alone = d.filter("of = 1").select(
@@ -440,7 +440,7 @@ def link_counts(root: DataFrame, docs: DataFrame, sets: DataFrame, id_col: str,
     return counted.groupBy("node").agg(F.sum("linked").alias("linked")).unionByName(two)
 
 
-def all_links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+def all_links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, keep=settled) -> tuple[DataFrame, DataFrame]:
     """Links between word sequences, and ``node`` and ``root`` of all that have one."""
     slim, spark = sets.select("node", "tokens"), docs.sparkSession
     kin = spark.createDataFrame([], "node binary, kin bigint")
@@ -448,32 +448,32 @@ def all_links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str) -> t
 
     def gathered(full, batch):
         """Links within the sets to be compared in full, and the kin with them."""
-        new = settled(newcomers(full, kin), f"new-{batch}")
+        new = keep(newcomers(full, kin), f"new-{batch}")
         met = kin.join(new.select("kin").distinct(), "kin", "left_semi").select("node", "kin")
         everyone = met.unionByName(new).select(F.col("kin").alias("path"), "node")
         # the sets that were of a kin before have met
         before = met.select("node", F.col("kin").alias("path"), F.col("kin").cast("string").cast("binary").alias("root"))
-        more = rest_links(everyone, before, docs, sets, id_col, text_col)
-        return more, settled(kin.unionByName(new), f"kin-{batch}")
+        more = rest_links(everyone, before, docs, sets, id_col, text_col, keep)
+        return more, keep(kin.unionByName(new), f"kin-{batch}")
 
     for batch in range(BATCHES + 1):
         if batch:
-            pairs, full = candidates(slim, kin, batch)
+            pairs, full = candidates(slim, kin, batch, keep)
             # pairs that earlier batches verified only add their runs
-            links = links.unionByName(verified(docs, sets, pairs, id_col, text_col))
+            links = links.unionByName(verified(docs, sets, pairs, id_col, text_col, keep))
         else:
-            full = opened(slim)
+            full = opened(slim, keep)
         if not full.isEmpty():
             more, kin = gathered(full, batch)
             if more is not None:
                 links = links.unionByName(more.withColumn("runs", F.lit(0).cast("bigint")))
-        links = settled(links.groupBy("a", "b").agg(F.bit_or("runs").alias("runs")), f"links-{batch}")
+        links = keep(links.groupBy("a", "b").agg(F.bit_or("runs").alias("runs")), f"links-{batch}")
         if batch and (found := recall(links, kin)) >= TARGET:
             break
     else:
         warnings.warn(f"estimated recall of the links is {found:.3f} after {BATCHES * RUNS} runs", stacklevel=2)
     links = links.select("a", "b")
-    return links, components(links)
+    return links, components(links, keep)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = True) -> DataFrame:
@@ -482,12 +482,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cou
     Without ``counted``, ``n_links`` counts the links that the runs have verified only.
     """
     signed = settled(signatures(docs, id_col, text_col), "signatures")
+    # dozens of small tables follow: a file a partition would cost more than the rows in it
+    keep = partial(settled, files=file_limit(docs.sparkSession, signed.count()))
     known = signed.filter("node is not null and doc_id is not null")
-    sets = settled(known.groupBy("node").agg(
+    sets = keep(known.groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("rows"), F.first("tokens").alias("tokens")), "sets")
-    links, root = all_links(docs, sets, id_col, text_col)
+    links, root = all_links(docs, sets, id_col, text_col, keep)
     if counted:
-        linked = link_counts(root, docs, sets, id_col, text_col)
+        linked = link_counts(root, docs, sets, id_col, text_col, keep)
     else:
         ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         rows = sets.select(F.col("node").alias("b"), F.col("rows").alias("b_rows"))

@@ -19,7 +19,7 @@ Only the id and text columns are read, so other columns cannot clash.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import load, settled
+from packetloom.llm.common import file_limit, load, settled
 
 SCOPE = 200
 #: Patterns, with the number of the group that holds the value.
@@ -133,7 +133,8 @@ def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark:
     own row, so the join is by the text's digest, as in ``scan``.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = settled(parts(docs.select(F.md5(text).alias("key"), text.alias("text"))), "secret-parts")
+    files = file_limit(docs.sparkSession, docs.count())
+    found = settled(parts(docs.select(F.md5(text).alias("key"), text.alias("text"))), "secret-parts", files)
     each = Window.partitionBy("key").orderBy("start", "end")
     reach = F.max("end").over(each.rowsBetween(Window.unboundedPreceding, -1))
     d = linked(found).withColumn("fresh", (F.coalesce(reach, F.lit(-1)) < F.col("start")).cast("int"))
@@ -143,7 +144,7 @@ def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark:
     last = F.lag("end", 1, 0).over(Window.partitionBy("key").orderBy("start"))
     d = d.withColumn("from", last)
     cuts = d.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("from", "start"))).alias("cuts"), F.max("end").alias("rest"))
-    cuts = settled(cuts, "secret-cuts")
+    cuts = settled(cuts, "secret-cuts", files)
     rows = docs.select(F.struct("*").alias("doc"), F.md5(text).alias("key")).join(cuts, "key", "left")
     own = F.col(f"doc.`{text_col}`")
     kept = F.transform("cuts", lambda c: own.substr(c["from"].cast("int") + 1, (c["start"] - c["from"]).cast("int")))
