@@ -60,13 +60,16 @@ def upload_file():
     return F.concat(stem, F.lit("_"), F.md5(F.encode("path", "UTF-8")), F.lit(".csv"))
 
 
-def register_accepted(catalog, accepted, folder, at):
+def register_accepted(catalog, accepted, folder, at, location=None):
     """Add every accepted upload to the catalog.
 
     ``accepted`` has ``path, file, dataset, description, category, text,
     delimiter``. Uploads with a blank name or description are not registered.
-    ``at`` is a timestamp: the time of registration.
+    ``at`` is a timestamp: the time of registration. ``location`` is a column; none
+    given: the upload's own file in ``folder``.
     """
+    if location is None:
+        location = F.concat(F.lit(folder.rstrip("/") + "/"), upload_file())
     moment = F.lit(at).cast("timestamp")
     header = F.get(csvtext.cells(F.col("text"), F.col("delimiter")), F.lit(0))
     fields = F.transform(
@@ -84,7 +87,7 @@ def register_accepted(catalog, accepted, folder, at):
         "description",
         F.concat(F.lit("Uploaded File ("), F.col("file"), F.lit(")")).alias("source"),
         F.lit(UPLOAD_FORMAT).alias("format"),
-        F.concat(F.lit(folder.rstrip("/") + "/"), upload_file()).alias("location"),
+        location.alias("location"),
         "category",
         moment.alias("created_at"),
         fields.cast(FIELD_LIST).alias("schema"),

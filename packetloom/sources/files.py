@@ -7,7 +7,7 @@ from packetloom.operators.catalog import named_uploads, register_accepted, uploa
 from packetloom.operators.uploads import EXTENSION, cleaned_text
 from packetloom.schemas import FLOWS, PACKETS
 from packetloom.session import run_folder
-from packetloom.sources.binary import write_files
+from packetloom.sources.binary import pack_files, write_files
 from packetloom.sources.shared import Store
 
 #: Spark writes this file last.
@@ -139,16 +139,26 @@ def read_uploads(spark, folder):
     return reader.load(folder), reader.option("pathGlobFilter", f"*{any_case}").load(folder)
 
 
-def ingest_uploads(catalog, accepted, folder, at):
+def ingest_uploads(catalog, accepted, folder, at, packed=False):
     """Write the cleaned file of every accepted upload to ``folder``; the catalog with what was written.
 
     Each file keeps its delimiter and stands where its catalog entry says. A file
     comes under its name whole; an upload that was not written is not registered.
+    A disk has room for some millions of files, so for more uploads they are ``packed``:
+    many cleaned files in one stored file, which ``sources.binary.read_files`` reads by their locations.
     """
     spark, folder = accepted.sparkSession, folder.rstrip("/")
     text = F.encode(cleaned_text(F.col("text"), F.col("delimiter")), "UTF-8")
     done = run_folder(spark, "written-uploads")
     files = named_uploads(accepted).select(upload_file().alias("name"), text.alias("content"))
+    if packed:
+        pack_files(files, folder).write.parquet(done)
+        # of files of one name one stays
+        # of files of one name one stays; the name is made before the join, which would make it for each comparison
+        stored = spark.read.schema("name string, path string").parquet(done)
+        written = stored.groupBy(F.col("name").alias("written_name")).agg(F.max("path").alias("written"))
+        kept = accepted.withColumn("written_name", upload_file()).join(written, "written_name")
+        return register_accepted(catalog, kept, folder, at, F.col("written"))
     write_files(files, folder).write.parquet(done)
     written = spark.read.schema("path string, length bigint").parquet(done).select(F.col("path").alias("written"))
     location = F.concat(F.lit(f"{folder}/"), upload_file())

@@ -2,6 +2,7 @@
 
 import csv
 import io
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,3 +62,82 @@ def test_cleaned_files_are_read_back_without_listing_them(spark, tmp_path):
     cells = {(r.path, r.row_no, r.cell_no): r.cell for r in got.collect()}
     assert {p.split("/")[2] for p, _, _ in cells} == {"44", "58"}
     assert cells["/uploads/44/Order 44.csv", 2, 0] == "44" and cells["/uploads/44/Order 44.csv", 1, 1] == "state"
+
+
+def _small_tables(spark, folder, keys):
+    schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string"
+    spark.createDataFrame([(k, 7, "O", "1-URGENT") for k in keys], schema).coalesce(1).write.parquet(f"{folder}/orders.parquet")
+    documents = "doc_id bigint, text string, lang string, source string"
+    spark.createDataFrame([], documents).write.parquet(f"{folder}/documents.parquet")
+
+
+def test_stored_files_do_not_grow_in_number_with_the_uploads(spark, tmp_path, monkeypatch):
+    """A disk has room for some millions of files only, and each takes a block of it."""
+    from packetloom.plans import queries
+    from packetloom.sources import files
+
+    for module in (queries, files):
+        monkeypatch.setattr(module, "run_folder", lambda spark, name: f"{tmp_path}/kept/{name}")
+    _small_tables(spark, tmp_path, range(400))
+    uploads = queries.cleaned_files(spark, str(tmp_path)).select("path").distinct().collect()
+    assert len(uploads) > 150
+    assert 0 < len([p for p in (tmp_path / "kept").rglob("*") if p.is_file()]) < 50
+
+
+def test_packed_uploads_are_read_back_by_their_locations(spark, tmp_path):
+    """Every row's file is the one that a file of its own would hold; a name that comes twice stands once."""
+    from packetloom.sources import binary
+
+    schema = "path string, file string, dataset string, description string, category string, text string, delimiter string"
+    rows = [(f"/u/{k}.csv", f"{k}.csv", "My/S#t.pack", "d", "x", f"a,b\n={k},ü\n", ",") for k in range(50)]
+    rows += [("/u/blank.csv", "b.csv", "\t", "d", "x", "a,b\n", ","), ("/u/7.csv", "7.csv", "My/S#t.pack", "d", "x", "a,b\n=7,ü\n", ",")]
+    rows += [(None, "n.csv", "none", "d", "x", "a,b\n", ",")]
+    accepted, empty = spark.createDataFrame(rows, schema).repartition(3), spark.createDataFrame([], CATALOG)
+    single = ingest_uploads(empty, accepted, str(tmp_path / "single"), "2024-01-01").collect()
+    packed = ingest_uploads(empty, accepted, str(tmp_path / "packed"), "2024-01-01", packed=True)
+    read = binary.read_files(binary.by_pack(packed.select(F.col("location").alias("path"))))
+    content = {r.path: bytes(r.content) for r in read.collect()}
+    packed = packed.collect()
+    assert read.count() == len(content) == 50 and len(packed) == 51
+
+    def seen(entries, contents):
+        return sorted((r.id, r.name, r.source, r.location.rsplit("/", 1)[1], contents[r.location], str(r.schema)) for r in entries)
+
+    own = {r.location: Path(r.location).read_bytes() for r in single}
+    assert seen(packed, content) == seen(single, own)
+    assert len(list((tmp_path / "packed").glob("*.pack"))) <= 3
+
+
+def test_packs_close_at_their_bounds_and_are_read_in_pieces(spark, tmp_path, monkeypatch):
+    from packetloom.sources import binary
+
+    contents = [bytes([k]) * (k * 997 % 300) for k in range(100)] + [b"x" * 5000, None]
+    rows = [(f"{k}/ü \n.csv", c) for k, c in enumerate(contents)]
+    files = spark.createDataFrame(rows, "name string, content binary").coalesce(1)
+    written = binary.pack_files(files, str(tmp_path / "p"), most_files=30, most_bytes=4000)
+    written.write.parquet(str(tmp_path / "rows"))
+    written = spark.read.parquet(str(tmp_path / "rows"))
+    sizes = [p.stat().st_size for p in (tmp_path / "p").iterdir()]
+    assert len(sizes) >= 5 and max(sizes) < 9000
+    want = {name: content or b"" for name, content in rows}
+    assert {r.name: r.length for r in written.collect()} == {name: len(content) for name, content in want.items()}
+    names = {r.path: r.name for r in written.collect()}
+    got = {names[r.path]: bytes(r.content) for r in binary.read_files(written.select("path")).collect()}
+    assert got == want
+    some = written.filter(F.col("length") % 3 == 1).select("path")
+    assert {names[r.path] for r in binary.read_files(some).collect()} == {n for n, c in want.items() if len(c) % 3 == 1}
+    monkeypatch.setattr(binary, "NEAR_BYTES", 10)
+    monkeypatch.setattr(binary, "BATCH_BYTES", 700)
+    members = list(names)[::2][::-1]
+    assert {names[p]: c for p, c in binary._opened(members)} == {names[p]: want[names[p]] for p in members}
+
+
+def test_a_cut_pack_raises_an_error(spark, tmp_path):
+    from packetloom.sources import binary
+
+    rows = spark.createDataFrame([("a", b"12345"), ("b", b"678")], "name string, content binary").coalesce(1)
+    paths = [r.path for r in binary.pack_files(rows, str(tmp_path / "p")).collect()]
+    pack = Path(paths[0].partition("#")[0])
+    pack.write_bytes(pack.read_bytes()[:-1])
+    with pytest.raises(EOFError):
+        list(binary._opened(paths))
